@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 
 from ontime.catalog import inputs
 from ontime.catalog.registry import (
-    AIRPORT, CARRIERS, COMPLETED_CTE, DECODED_CTE, ENRICHED_CTES, HOURLY_ALL_CTE, HOURLY_CTE, query, rounded,
-    with_both, with_flights, with_weather,
+    AIRPORT, CARRIERS, COMPLETED_CTE, DECODED_CTE, ENRICHED_CTES, HOURLY_ALL_CTE, HOURLY_CTE, PARAMS, query,
+    rounded, with_both, with_flights, with_weather,
 )
 from ontime.functions import columns as c
 from ontime.operators import aggregates as agg
 from ontime.operators import filters, graph, quality
 from ontime.operators.models import best_run
+from ontime.operators.projections import fill_nulls
 from ontime.params import run_params
 from ontime.plans.enriched import serving_split, validation_ranges
+from ontime.plans.jobs import exploration_base
 from ontime.schema import MEASURES, ZERO_FILLED
 from ontime.sources.fixtures import flights_v, read, weather_v
+from ontime.sources.sinks import stage_table
 
 # Weather -------------------------------------------------------------------------------------------------------------
 
@@ -187,10 +190,6 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    from ontime.catalog.registry import PARAMS
-    from ontime.operators.projections import fill_nulls
-    from ontime.plans.jobs import exploration_base
-
     rows = exploration_base(flights_v(spark, sf_dir), PARAMS)
     named = rows.select(
         c.trip_id(c.route("origin", "dest"), "fl_date").alias("uni_id"), "flight_id", "fl_date", *ZERO_FILLED
@@ -433,7 +432,7 @@ _UNSEEN_CTE = f"""domains_v as ({_DOMAINS}), unseen_v as (
 def _rules_and_unseen(spark, sf_dir):
     train, serve = _ranges(spark, sf_dir)
     odd = _odd(serve)
-    rules = quality.infer_expectations(quality.column_profile(train))
+    rules = stage_table(quality.infer_expectations(quality.column_profile(train)))
     return odd, rules, quality.unseen_values(odd, quality.infer_domains(train, rules))
 
 
@@ -556,8 +555,6 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    from ontime.catalog.registry import PARAMS
-
     _, serve = serving_split(flights_v(spark, sf_dir), PARAMS)
     return quality.reconcile_counts(serve, serve.where(F.col("arr_delay").isNotNull()))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.columns import delay_level, hour_of, null_nan, route, station_code
@@ -99,6 +99,12 @@ def delay_level_counts(df: DataFrame, delay: str = "dep_delay_new", carrier: str
     return df.groupBy(carrier, delay_level(delay).alias("level")).agg(F.count(F.lit(1)).alias("n_trips"))
 
 
+def _correlation(a: str, b: str) -> Column:
+    # F.corr divides by zero, an error under ANSI rules, when one side is constant over the rows of the pair
+    spread = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns in long form, over the rows where both are known.
 
@@ -106,7 +112,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     cleaned = df.select(*[null_nan(F.col(c).cast("double")).alias(c) for c in columns])
     pairs = list(combinations(columns, 2))
-    upper = [null_nan(F.corr(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
+    upper = [_correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
     spread = [
         F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"d{i}") for i, c in enumerate(columns)
     ]

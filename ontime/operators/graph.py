@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from ontime.functions.columns import city_of
 from ontime.operators.filters import filter_edges
-from ontime.sources.sinks import cut_lineage
+from ontime.sources.sinks import stage_table
+
+# Neighbours of one source that a single join key may carry.
+HUB_EDGES = 1_000_000
+DEGREE_SALT = 16
 
 
 def build_graph(df: DataFrame, delay: str = "dep_delay", vertex: str = "origin") -> tuple[DataFrame, DataFrame]:
@@ -31,19 +35,33 @@ def edge_query(edges: DataFrame, end: str, code: str, keys: Sequence[str], agg:
     return filter_edges(edges, end, code).groupBy(*keys).agg(agg)
 
 
-def transition_weights(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Parallel edges collapsed to (src, dst, weight), the weight being their share of the source's edges.
+def transition_weights(vertices: DataFrame, edges: DataFrame, hub_edges: int = HUB_EDGES) -> tuple[DataFrame, DataFrame]:
+    """Parallel edges collapsed to (src, part, dst, weight), and the vertices with their number of parts.
 
-    Edges that leave the vertex set are dropped. Collapsing first means that everything after handles at most one row
-    per pair of vertices, however many trips there are.
+    The weight is the pair's share of the source's edges. Edges that leave the vertex set are dropped. Collapsing first
+    means that everything after handles at most one row per pair of vertices, however many trips there are. A source
+    with more than ``hub_edges`` neighbours is cut into parts, so that no join key carries more than about that many.
     """
-    known = vertices.select("id").distinct()
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n_edges"))
+    known = vertices.where(F.col("id").isNotNull()).select("id").distinct()
+    linked = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    pairs = linked.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n_edges"))
     inside = pairs.join(known.withColumnRenamed("id", "src"), "src", "left_semi").join(
         known.withColumnRenamed("id", "dst"), "dst", "left_semi"
     )
-    degree = inside.groupBy("src").agg(F.sum("n_edges").alias("out_degree"))
-    return inside.join(degree, "src").select("src", "dst", (F.col("n_edges") / F.col("out_degree")).alias("weight"))
+    degree = inside.groupBy("src").agg(
+        F.sum("n_edges").alias("out_degree"), F.ceil(F.count(F.lit(1)) / hub_edges).cast("int").alias("parts")
+    )
+    # a hub's pairs are spread over several tasks here too: the degrees are repeated once per salt value
+    salted = degree.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(DEGREE_SALT - 1))))
+    keyed = inside.withColumn("salt", F.pmod(F.xxhash64("dst"), F.lit(DEGREE_SALT)).cast("int"))
+    weights = keyed.join(salted, ["src", "salt"]).select(
+        "src",
+        F.pmod(F.xxhash64("dst", F.lit(1)), F.col("parts")).cast("int").alias("part"),
+        "dst",
+        (F.col("n_edges") / F.col("out_degree")).alias("weight"),
+    )
+    split = known.join(degree, known.id == degree.src, "left").select("id", F.coalesce("parts", F.lit(1)).alias("parts"))
+    return weights, split
 
 
 def pagerank(
@@ -51,26 +69,35 @@ def pagerank(
     edges: DataFrame,
     reset: float = 0.15,
     iters: int = 5,
-    checkpoint_every: int = 5,
+    stage_every: int = 10,
+    hub_edges: int = HUB_EDGES,
 ) -> DataFrame:
     """Static PageRank: ranks start at 1, ``iters`` rounds, ranks scaled to sum up to the number of vertices.
 
-    The collapsed edges are checkpointed, since every round reads them; the ranks every few rounds to bound the plan.
+    The collapsed edges are written once and every round reads them; their shuffle is the same in all rounds and thus
+    reused. The ranks are written every few rounds to bound the plan.
     """
-    weights = cut_lineage(transition_weights(vertices, edges))
-    known = cut_lineage(vertices.select("id").distinct())
-    ranks = known.withColumn("pagerank", F.lit(1.0))
+    weights, split = (stage_table(df) for df in transition_weights(vertices, edges, hub_edges))
+    # stating what the later joins imply keeps the plan of the edges, and so their shuffle, the same in every round
+    weights, split = weights.dropna(subset=["src", "dst"]), split.dropna(subset=["id"])
+    silent = split.select("id", "parts", F.lit(0.0).alias("received"))
+    ranks = split.withColumn("pagerank", F.lit(1.0))
     for step in range(1, iters + 1):
-        received = (
-            weights.join(ranks, weights.src == ranks.id)
-            .groupBy("dst")
-            .agg(F.sum(F.col("pagerank") * F.col("weight")).alias("received"))
+        sent = ranks.select(
+            F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "pagerank"
+        )
+        # hash the ranks, not the edges: there are fewer, and the edges then need neither a sort nor a second shuffle
+        received = weights.join(sent.hint("shuffle_hash"), ["src", "part"]).select(
+            F.col("dst").alias("id"), F.lit(0).alias("parts"), (F.col("pagerank") * F.col("weight")).alias("received")
         )
-        ranks = known.join(received, known.id == received.dst, "left").select(
-            "id", (reset + (1 - reset) * F.coalesce("received", F.lit(0.0))).alias("pagerank")
+        ranks = (
+            silent.unionByName(received)
+            .groupBy("id")
+            .agg(F.max("parts").alias("parts"), F.sum("received").alias("received"))
+            .select("id", "parts", (reset + (1 - reset) * F.col("received")).alias("pagerank"))
         )
-        if step % checkpoint_every == 0 and step < iters:
-            ranks = cut_lineage(ranks)
-    ranks = cut_lineage(ranks)
+        if step % stage_every == 0 and step < iters:
+            ranks = stage_table(ranks)
+    ranks = stage_table(ranks.select("id", "pagerank"))
     scale = ranks.agg((F.count(F.lit(1)) / F.sum("pagerank")).alias("scale")).scalar()
     return ranks.select("id", (F.col("pagerank") * scale).alias("pagerank"))

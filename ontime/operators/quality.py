@@ -45,7 +45,7 @@ PROFILE_FIELDS = (
 )
 
 
-def _profile_exprs(df: DataFrame, column: str, accuracy: int, exact_distinct: bool) -> dict[str, Column]:
+def _profile_exprs(df: DataFrame, column: str, accuracy: int) -> dict[str, Column]:
     kind = kind_of(df.schema[column].dataType)
     none_long, none_double = F.lit(None).cast("long"), F.lit(None).cast("double")
     raw = F.col(column)
@@ -63,8 +63,7 @@ def _profile_exprs(df: DataFrame, column: str, accuracy: int, exact_distinct: bo
             "max_value": F.max(known),
         }
     elif kind == "string":
-        distinct = F.count_distinct(raw) if exact_distinct else F.approx_count_distinct(raw)
-        out |= {"n_distinct": distinct, "avg_length": F.avg(F.length(raw).cast("double"))}
+        out |= {"n_distinct": F.approx_count_distinct(raw), "avg_length": F.avg(F.length(raw).cast("double"))}
     return out
 
 
@@ -74,24 +73,45 @@ def column_profile(
     median_accuracy: int = MEDIAN_ACCURACY,
     exact_distinct: bool = True,
 ) -> DataFrame:
-    """Statistics per column, one row each, from a single aggregation.
+    """Statistics per column, one row each.
 
     Numbers: mean, population standard deviation, zeros, minimum, median (lower middle value, from a quantile sketch of
     bounded size), maximum. Strings: distinct values, average length. NaN counts as missing.
+
+    One aggregation without a shuffle of rows serves everything but exact distinct counts. Those come from a second one
+    over (column, value) pairs: several ``count(distinct)`` in the first would copy every row once per string column
+    and keep all quantile sketches once per distinct value.
     """
     names = list(columns or df.columns)
     aggregates, cells = [], []
     for i, name in enumerate(names):
-        exprs = _profile_exprs(df, name, median_accuracy, exact_distinct)
-        aggregates += [expr.alias(f"{field}_{i}") for field, expr in exprs.items()]
+        exprs = _profile_exprs(df, name, median_accuracy)
+        if exact_distinct:
+            exprs["n_distinct"] = F.lit(None).cast("long")
+        constant = {field for field, expr in exprs.items() if not _aggregates(field, kind_of(df.schema[name].dataType))}
+        aggregates += [expr.alias(f"{field}_{i}") for field, expr in exprs.items() if field not in constant]
         cells.append(
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.lit(kind_of(df.schema[name].dataType)).alias("kind"),
-                *[F.col(f"{field}_{i}").alias(field) for field in PROFILE_FIELDS],
+                *[(exprs[f] if f in constant else F.col(f"{f}_{i}")).alias(f) for f in PROFILE_FIELDS],
             )
         )
-    return df.select(*names).agg(*aggregates).select(F.inline(F.array(*cells)))
+    profile = df.select(*names).agg(*aggregates).select(F.inline(F.array(*cells)))
+    if not exact_distinct:
+        return profile
+    distinct = _string_values(df, names).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_values"))
+    counted = F.when(F.col("kind") == "string", F.coalesce("n_values", F.lit(0)))
+    joined = profile.join(distinct, "column_name", "left").withColumn("n_distinct", counted)
+    return joined.select("column_name", "kind", *PROFILE_FIELDS)
+
+
+def _aggregates(field: str, kind: str) -> bool:
+    if field in ("n_rows", "n_missing"):
+        return True
+    if field in ("n_distinct", "avg_length"):
+        return kind == "string"
+    return kind in ("int", "float")
 
 
 def _bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -107,7 +127,7 @@ def _bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Equal-width bin 0 .. bins-1; the maximum belongs to the last bin, a constant column to the first."""
     place = F.floor(F.try_divide((value - lo) * bins, hi - lo)).cast("int")
-    return F.when(value.isNotNull(), F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)))
+    return F.when(value.isNotNull(), F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)))
 
 
 def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
