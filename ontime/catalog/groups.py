@@ -363,7 +363,7 @@ def _(spark, sf_dir):
 @query("infer_expectations", with_flights("select * from rules_v", *_RULE_CTES))
 def _(spark, sf_dir):
     train, _serve = _ranges(spark, sf_dir)
-    return quality.infer_expectations(quality.column_profile(train))
+    return quality.infer_expectations(quality.column_profile(train, median=None))
 
 
 _DOMAINS = " union all ".join(
@@ -376,7 +376,7 @@ _DOMAINS = " union all ".join(
 @query("infer_domains", with_flights(_DOMAINS, *_RULE_CTES))
 def _(spark, sf_dir):
     train, _serve = _ranges(spark, sf_dir)
-    return quality.infer_domains(train, quality.infer_expectations(quality.column_profile(train)))
+    return quality.infer_domains(train, quality.infer_expectations(quality.column_profile(train, median=None)))
 
 
 @query(
@@ -389,7 +389,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     train, _serve = _ranges(spark, sf_dir)
-    rules = quality.infer_expectations(quality.column_profile(train))
+    rules = quality.infer_expectations(quality.column_profile(train, median=None))
     return quality.environment_rules(rules, ["arr_delay", "dep_delay", "distance"])
 
 
@@ -432,7 +432,7 @@ _UNSEEN_CTE = f"""domains_v as ({_DOMAINS}), unseen_v as (
 def _rules_and_unseen(spark, sf_dir):
     train, serve = _ranges(spark, sf_dir)
     odd = _odd(serve)
-    rules = stage_table(quality.infer_expectations(quality.column_profile(train)))
+    rules = stage_table(quality.infer_expectations(quality.column_profile(train, median=None)))
     return odd, rules, quality.unseen_values(odd, quality.infer_domains(train, rules))
 
 
@@ -466,7 +466,7 @@ select column_name, 'unseen_category', cast(count(*) as varchar), '0' from unsee
 )
 def _(spark, sf_dir):
     odd, rules, unseen = _rules_and_unseen(spark, sf_dir)
-    return quality.validate_profile(quality.column_profile(odd), quality.environment_rules(rules), unseen)
+    return quality.validate_profile(quality.column_profile(odd, median=None), quality.environment_rules(rules), unseen)
 
 
 _COMPARED = ("column_name", "serve_n_rows", "train_n_rows", "serve_mean", "train_mean", "mean_change",

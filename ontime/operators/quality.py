@@ -15,8 +15,9 @@ from pyspark.sql.types import (
 
 from ontime.functions.columns import null_nan
 
-# Quantile sketch size: exact up to about half this many rows per column, rank error 1/accuracy of the rows beyond.
-MEDIAN_ACCURACY = 100_000
+# Bins per round of the exact median; relative rank error of the sketched one is 1 / SKETCH_ACCURACY.
+MEDIAN_BINS = 1024
+SKETCH_ACCURACY = 10_000
 DOMAIN_LIMIT = 100
 CALENDAR_COLUMNS = ("year", "quarter", "month", "day_of_month", "day_of_week", "fl_date")
 LABEL_COLUMNS = ("arr_delay", "dep_delay")
@@ -45,7 +46,64 @@ PROFILE_FIELDS = (
 )
 
 
-def _profile_exprs(df: DataFrame, column: str, accuracy: int) -> dict[str, Column]:
+def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = MEDIAN_BINS) -> dict[str, float]:
+    """Lower middle value of every numeric column that has one.
+
+    Each round counts the values per bin of the range that still holds a column's median and narrows the range to the
+    smallest and largest value of the right bin. Both ends have bins of their own, so that every round gets nearer
+    whatever the values are. Tasks keep at most ``bins`` counters per column, no values are gathered, and one row per
+    column comes back; a quantile sketch would instead send the sketches of all tasks to a single one.
+    """
+    if not columns:
+        return {}
+    cleaned = df.select(*[null_nan(F.col(c).cast("double")).alias(c) for c in columns])
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"))
+        for c in columns
+    ]
+    extent = cleaned.agg(F.array(*cells).alias("cells")).select(F.inline("cells")).collect()  # one row per column
+    open_ranges = {r["column_name"]: (r["lo"], r["hi"], (r["n"] + 1) // 2) for r in extent if r["n"]}
+    medians: dict[str, float] = {}
+    while open_ranges:
+        medians |= {c: lo for c, (lo, hi, _rank) in open_ranges.items() if lo == hi}
+        open_ranges = {c: r for c, r in open_ranges.items() if c not in medians}
+        if open_ranges:
+            open_ranges = _narrowed(cleaned, open_ranges, bins)
+    return medians
+
+
+def _narrowed(
+    cleaned: DataFrame, ranges: dict[str, tuple[float, float, int]], bins: int
+) -> dict[str, tuple[float, float, int]]:
+    def place(column: str, lo: float, hi: float) -> Column:
+        share = (F.col(column) - lo) / (hi - lo)
+        inner = F.when(F.isnan(share), 0).otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
+        return F.when(F.col(column) == lo, -1).when(F.col(column) == hi, bins).otherwise(inner).cast("int")
+
+    cells = [
+        F.when(
+            F.col(c).between(lo, hi),
+            F.struct(F.lit(c).alias("column_name"), place(c, lo, hi).alias("bin"), F.col(c).alias("value")),
+        )
+        for c, (lo, hi, _rank) in ranges.items()
+    ]
+    counts = (
+        cleaned.select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("column_name", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    )
+    ranks = F.create_map(*[F.lit(x) for c, (_lo, _hi, rank) in ranges.items() for x in (c, rank)])
+    upto = Window.partitionBy("column_name").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        counts.withColumn("upto", F.sum("n").over(upto))
+        .withColumn("rank", ranks[F.col("column_name")])
+        .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
+        .select("column_name", "lo", "hi", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+    )
+    return {r["column_name"]: (r["lo"], r["hi"], r["rank"]) for r in found.collect()}  # one row per column
+
+
+def _profile_exprs(df: DataFrame, column: str, median: Column) -> dict[str, Column]:
     kind = kind_of(df.schema[column].dataType)
     none_long, none_double = F.lit(None).cast("long"), F.lit(None).cast("double")
     raw = F.col(column)
@@ -59,7 +117,7 @@ def _profile_exprs(df: DataFrame, column: str, accuracy: int) -> dict[str, Colum
             "stddev": F.stddev_pop(known),
             "n_zeros": F.count(F.when(known == 0, 1)),
             "min_value": F.min(known),
-            "median": F.percentile_approx(known, 0.5, accuracy),
+            "median": median,
             "max_value": F.max(known),
         }
     elif kind == "string":
@@ -70,25 +128,35 @@ def _profile_exprs(df: DataFrame, column: str, accuracy: int) -> dict[str, Colum
 def column_profile(
     df: DataFrame,
     columns: Sequence[str] | None = None,
-    median_accuracy: int = MEDIAN_ACCURACY,
+    median: str | None = "exact",
     exact_distinct: bool = True,
 ) -> DataFrame:
     """Statistics per column, one row each.
 
-    Numbers: mean, population standard deviation, zeros, minimum, median (lower middle value, from a quantile sketch of
-    bounded size), maximum. Strings: distinct values, average length. NaN counts as missing.
+    Numbers: mean, population standard deviation, zeros, minimum, median (lower middle value), maximum. Strings:
+    distinct values, average length. NaN counts as missing. ``median`` is ``exact`` (some extra scans of the numeric
+    columns, see ``exact_medians``), ``sketch`` or ``None`` (left out).
 
     One aggregation without a shuffle of rows serves everything but exact distinct counts. Those come from a second one
-    over (column, value) pairs: several ``count(distinct)`` in the first would copy every row once per string column
-    and keep all quantile sketches once per distinct value.
+    over (column, value) pairs: several ``count(distinct)`` in the first would copy every row once per string column.
     """
+    if median not in ("exact", "sketch", None):
+        raise ValueError(f"median {median!r} is neither 'exact', 'sketch' nor None")
     names = list(columns or df.columns)
+    medians = exact_medians(df, _numbers(df, names)) if median == "exact" else {}
+
+    def median_of(name: str) -> Column:
+        if median == "sketch":
+            return F.percentile_approx(null_nan(F.col(name).cast("double")), 0.5, SKETCH_ACCURACY)
+        return F.lit(medians.get(name)).cast("double")
+
     aggregates, cells = [], []
     for i, name in enumerate(names):
-        exprs = _profile_exprs(df, name, median_accuracy)
+        exprs = _profile_exprs(df, name, median_of(name))
         if exact_distinct:
             exprs["n_distinct"] = F.lit(None).cast("long")
-        constant = {field for field, expr in exprs.items() if not _aggregates(field, kind_of(df.schema[name].dataType))}
+        constant = {f for f in exprs if not _aggregates(f, kind_of(df.schema[name].dataType))}
+        constant |= ({"n_distinct"} if exact_distinct else set()) | ({"median"} if median != "sketch" else set())
         aggregates += [expr.alias(f"{field}_{i}") for field, expr in exprs.items() if field not in constant]
         cells.append(
             F.struct(

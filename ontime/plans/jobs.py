@@ -29,16 +29,16 @@ TARGETS = {"arr": ("arr_delay", ARRIVAL_FEATURES), "dep": ("dep_delay", DEPARTUR
 
 def etl_job(
     flights: DataFrame, weather: DataFrame, params: RunParams, table: str, path: str | None = None,
-    tie: Sequence[str] = ("flight_id",),
+    tie: Sequence[str] = ("flight_id",), partition_by: Sequence[str] = ("fl_date",),
 ) -> DataFrame:
-    """Publish the enriched table of one airport and period.
+    """Publish the enriched table of one airport and period, by default in date partitions, which later jobs prune.
 
     The hourly weather is written once and read by both joins; being a written table, its size is known, so that the
     optimizer decides between broadcast and sort-merge join from a fact.
     """
     hourly = stage_table(hourly_weather(weather_for(weather, params)))
     silver = silver_flights(flights, params, tie=tie, keep=tie)
-    return publish_table(enriched_flights(silver, hourly, keep=tie), table, path)
+    return publish_table(enriched_flights(silver, hourly, keep=tie), table, path, partition_by=partition_by)
 
 
 @dataclass

@@ -98,3 +98,33 @@ def test_reconcile_counts(table):
     bad = q.reconcile_counts(table, table.where("i > 0"), "day").first()
     assert good["agree"] is True and bad["agree"] is False
     assert (bad["expected_rows"], bad["actual_rows"]) == (501, 500)
+
+
+@pytest.mark.parametrize("bins", [16, 1024])
+def test_exact_medians_on_hard_values(spark, bins):
+    rng = random.Random(2)
+    inf, tiny = float("inf"), 5e-324
+    columns = {
+        "wild": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(101)],
+        "ends": [-inf, inf, 1.7e308, -1.7e308, 0.0, 1.0] * 5,
+        "tiny": [0.0, tiny, 2 * tiny, 3 * tiny],
+        "same": [4.0] * 10,
+        "holes": [None, float("nan"), 3.0, 1.0, 2.0],
+        "empty": [None] * 3,
+    }
+    data = [{c: v[i] if i < len(v) else None for c, v in columns.items()} for i in range(101)]
+    frame = spark.createDataFrame(data, ", ".join(f"{c} double" for c in columns))
+    expected = {
+        c: statistics.median_low(known)
+        for c, values in columns.items()
+        if (known := [v for v in values if v is not None and v == v])
+    }
+    assert q.exact_medians(frame, list(columns), bins) == expected
+
+
+def test_median_modes(table):
+    exact = by_name(q.column_profile(table, ["x"]))["x"]["median"]
+    assert by_name(q.column_profile(table, ["x"], median="sketch"))["x"]["median"] == pytest.approx(exact, abs=0.05)
+    assert by_name(q.column_profile(table, ["x"], median=None))["x"]["median"] is None
+    with pytest.raises(ValueError):
+        q.column_profile(table, ["x"], median="mean")
