@@ -46,6 +46,26 @@ PROFILE_FIELDS = (
 )
 
 
+def _cells(columns: dict[str, Column], df: DataFrame) -> DataFrame:
+    """One row per table cell: position of the column and its value as a double.
+
+    Grouping cells by their column keeps the generated code small however many columns there are; hundreds of
+    aggregates side by side would exceed what the JVM compiles.
+    """
+    places = [F.col(c) if isinstance(c, str) else c for c in columns.values()]
+    wide = df.select(*[place.alias(str(i)) for i, place in enumerate(places)])
+    names = [str(i) for i in range(len(places))]
+    return wide.unpivot([], names, "c", "v").select(F.col("c").cast("int").alias("c"), "v")
+
+
+def _known_numbers(columns: Sequence[str]) -> dict[str, Column]:
+    return {c: null_nan(F.col(c).cast("double")) for c in columns}
+
+
+def _name(columns: Sequence[str]) -> Column:
+    return F.array(*[F.lit(c) for c in columns])[F.col("c")]
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = MEDIAN_BINS) -> dict[str, float]:
     """Lower middle value of every numeric column that has one.
 
@@ -56,73 +76,43 @@ def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = MEDIAN_BINS
     """
     if not columns:
         return {}
-    cleaned = df.select(*[null_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"))
-        for c in columns
-    ]
-    extent = cleaned.agg(F.array(*cells).alias("cells")).select(F.inline("cells")).collect()  # one row per column
-    open_ranges = {r["column_name"]: (r["lo"], r["hi"], (r["n"] + 1) // 2) for r in extent if r["n"]}
+    cells = _cells(_known_numbers(columns), df).where(F.col("v").isNotNull())
+    extent = cells.groupBy("c").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ranges = {r["c"]: (r["lo"], r["hi"], (r["n"] + 1) // 2) for r in extent.collect()}  # one row per column
     medians: dict[str, float] = {}
-    while open_ranges:
-        medians |= {c: lo for c, (lo, hi, _rank) in open_ranges.items() if lo == hi}
-        open_ranges = {c: r for c, r in open_ranges.items() if c not in medians}
-        if open_ranges:
-            open_ranges = _narrowed(cleaned, open_ranges, bins)
+    while ranges:
+        medians |= {columns[c]: lo for c, (lo, hi, _rank) in ranges.items() if lo == hi}
+        ranges = {c: r for c, r in ranges.items() if columns[c] not in medians}
+        if ranges:
+            ranges = _narrowed(cells, ranges, len(columns), bins)
     return medians
 
 
 def _narrowed(
-    cleaned: DataFrame, ranges: dict[str, tuple[float, float, int]], bins: int
-) -> dict[str, tuple[float, float, int]]:
-    def place(column: str, lo: float, hi: float) -> Column:
-        share = (F.col(column) - lo) / (hi - lo)
-        inner = F.when(F.isnan(share), 0).otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
-        return F.when(F.col(column) == lo, -1).when(F.col(column) == hi, bins).otherwise(inner).cast("int")
-
-    cells = [
-        F.when(
-            F.col(c).between(lo, hi),
-            F.struct(F.lit(c).alias("column_name"), place(c, lo, hi).alias("bin"), F.col(c).alias("value")),
-        )
-        for c, (lo, hi, _rank) in ranges.items()
-    ]
+    cells: DataFrame, ranges: dict[int, tuple[float, float, int]], n_columns: int, bins: int
+) -> dict[int, tuple[float, float, int]]:
+    def of_column(part: int, absent: float | int) -> Column:
+        return F.array(*[F.lit(ranges[c][part] if c in ranges else absent) for c in range(n_columns)])[F.col("c")]
+
+    nothing = (float("inf"), float("-inf"))
+    inside = cells.select("c", "v", of_column(0, nothing[0]).alias("lo"), of_column(1, nothing[1]).alias("hi")).where(
+        F.col("v").between(F.col("lo"), F.col("hi"))
+    )
+    share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    inner = F.when(F.isnan(share), 0).otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
+    place = F.when(F.col("v") == F.col("lo"), -1).when(F.col("v") == F.col("hi"), bins).otherwise(inner).cast("int")
     counts = (
-        cleaned.select(F.inline(F.array_compact(F.array(*cells))))
-        .groupBy("column_name", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        inside.groupBy("c", place.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
-    ranks = F.create_map(*[F.lit(x) for c, (_lo, _hi, rank) in ranges.items() for x in (c, rank)])
-    upto = Window.partitionBy("column_name").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
         counts.withColumn("upto", F.sum("n").over(upto))
-        .withColumn("rank", ranks[F.col("column_name")])
+        .withColumn("rank", of_column(2, 0))
         .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
-        .select("column_name", "lo", "hi", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+        .select("c", "lo", "hi", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
     )
-    return {r["column_name"]: (r["lo"], r["hi"], r["rank"]) for r in found.collect()}  # one row per column
-
-
-def _profile_exprs(df: DataFrame, column: str, median: Column) -> dict[str, Column]:
-    kind = kind_of(df.schema[column].dataType)
-    none_long, none_double = F.lit(None).cast("long"), F.lit(None).cast("double")
-    raw = F.col(column)
-    known = null_nan(raw.cast("double")) if kind in ("int", "float") else raw
-    out = dict.fromkeys(PROFILE_FIELDS, none_double)
-    out |= {"n_rows": F.count(F.lit(1)), "n_zeros": none_long, "n_distinct": none_long}
-    out["n_missing"] = F.count(F.lit(1)) - F.count(known)
-    if kind in ("int", "float"):
-        out |= {
-            "mean": F.avg(known),
-            "stddev": F.stddev_pop(known),
-            "n_zeros": F.count(F.when(known == 0, 1)),
-            "min_value": F.min(known),
-            "median": median,
-            "max_value": F.max(known),
-        }
-    elif kind == "string":
-        out |= {"n_distinct": F.approx_count_distinct(raw), "avg_length": F.avg(F.length(raw).cast("double"))}
-    return out
+    return {r["c"]: (r["lo"], r["hi"], r["rank"]) for r in found.collect()}  # one row per column
 
 
 def column_profile(
@@ -135,60 +125,66 @@ def column_profile(
 
     Numbers: mean, population standard deviation, zeros, minimum, median (lower middle value), maximum. Strings:
     distinct values, average length. NaN counts as missing. ``median`` is ``exact`` (some extra scans of the numeric
-    columns, see ``exact_medians``), ``sketch`` or ``None`` (left out).
-
-    One aggregation without a shuffle of rows serves everything but exact distinct counts. Those come from a second one
-    over (column, value) pairs: several ``count(distinct)`` in the first would copy every row once per string column.
+    columns, see ``exact_medians``), ``sketch`` or ``None`` (left out). Distinct values are counted exactly from
+    (column, value) pairs or estimated.
     """
     if median not in ("exact", "sketch", None):
         raise ValueError(f"median {median!r} is neither 'exact', 'sketch' nor None")
     names = list(columns or df.columns)
-    medians = exact_medians(df, _numbers(df, names)) if median == "exact" else {}
-
-    def median_of(name: str) -> Column:
-        if median == "sketch":
-            return F.percentile_approx(null_nan(F.col(name).cast("double")), 0.5, SKETCH_ACCURACY)
-        return F.lit(medians.get(name)).cast("double")
-
-    aggregates, cells = [], []
-    for i, name in enumerate(names):
-        exprs = _profile_exprs(df, name, median_of(name))
-        if exact_distinct:
-            exprs["n_distinct"] = F.lit(None).cast("long")
-        constant = {f for f in exprs if not _aggregates(f, kind_of(df.schema[name].dataType))}
-        constant |= ({"n_distinct"} if exact_distinct else set()) | ({"median"} if median != "sketch" else set())
-        aggregates += [expr.alias(f"{field}_{i}") for field, expr in exprs.items() if field not in constant]
-        cells.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(kind_of(df.schema[name].dataType)).alias("kind"),
-                *[(exprs[f] if f in constant else F.col(f"{f}_{i}")).alias(f) for f in PROFILE_FIELDS],
-            )
-        )
-    profile = df.select(*names).agg(*aggregates).select(F.inline(F.array(*cells)))
-    if not exact_distinct:
-        return profile
-    distinct = _string_values(df, names).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_values"))
-    counted = F.when(F.col("kind") == "string", F.coalesce("n_values", F.lit(0)))
-    joined = profile.join(distinct, "column_name", "left").withColumn("n_distinct", counted)
-    return joined.select("column_name", "kind", *PROFILE_FIELDS)
-
-
-def _aggregates(field: str, kind: str) -> bool:
-    if field in ("n_rows", "n_missing"):
-        return True
-    if field in ("n_distinct", "avg_length"):
-        return kind == "string"
-    return kind in ("int", "float")
-
-
-def _bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    cleaned = {c: null_nan(F.col(c).cast("double")) for c in columns}
-    return df.agg(
-        F.struct(
-            *[F.min(cleaned[c]).alias(f"lo_{c}") for c in columns],
-            *[F.max(cleaned[c]).alias(f"hi_{c}") for c in columns],
-        ).alias("bounds")
+    kinds = [kind_of(df.schema[n].dataType) for n in names]
+    values = {}
+    for name, kind in zip(names, kinds, strict=True):
+        if kind in ("int", "float"):
+            values[name] = null_nan(F.col(name).cast("double"))
+        elif kind == "string":
+            values[name] = F.length(name).cast("double")
+        else:
+            values[name] = F.when(F.col(name).isNotNull(), 0.0)
+
+    aggregates = [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("v").alias("n_known"),
+        F.avg("v").alias("avg"),
+        F.stddev_pop("v").alias("std"),
+        F.count(F.when(F.col("v") == 0, 1)).alias("zeros"),
+        F.min("v").alias("lo"),
+        F.max("v").alias("hi"),
+    ]
+    if median == "sketch":
+        aggregates.append(F.percentile_approx("v", 0.5, SKETCH_ACCURACY).alias("mid"))
+    counted = _cells(values, df).groupBy("c").agg(*aggregates)
+    # an empty table has no cells: every column still gets its row
+    listed = df.sparkSession.createDataFrame(
+        [(i, n, k) for i, (n, k) in enumerate(zip(names, kinds, strict=True))], "c int, column_name string, kind string"
+    )
+    joined = listed.join(counted, "c", "left")
+    if exact_distinct:
+        pairs = _string_values(df, names).groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct"))
+    else:
+        strings = [n for n, k in zip(names, kinds, strict=True) if k == "string"]
+        pairs = _string_cells(df, strings).groupBy("column_name").agg(F.approx_count_distinct("value").alias("distinct"))
+    joined = joined.join(pairs, "column_name", "left")
+
+    number, text = F.col("kind").isin("int", "float"), F.col("kind") == "string"
+    if median == "sketch":
+        middle = F.when(number, F.col("mid"))
+    else:
+        medians = exact_medians(df, _numbers(df, names)) if median == "exact" else {}
+        middle = F.array(*[F.lit(medians.get(n)).cast("double") for n in names])[F.col("c")]
+    rows, known = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_known", F.lit(0))
+    return joined.select(
+        "column_name",
+        "kind",
+        rows.alias("n_rows"),
+        (rows - known).alias("n_missing"),
+        F.when(number, F.col("avg")).alias("mean"),
+        F.when(number, F.col("std")).alias("stddev"),
+        F.when(number, F.coalesce("zeros", F.lit(0))).alias("n_zeros"),
+        F.when(number, F.col("lo")).alias("min_value"),
+        middle.alias("median"),
+        F.when(number, F.col("hi")).alias("max_value"),
+        F.when(text, F.coalesce("distinct", F.lit(0))).alias("n_distinct"),
+        F.when(text, F.col("avg")).alias("avg_length"),
     )
 
 
@@ -200,11 +196,11 @@ def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width histogram between minimum and maximum; empty bins are not listed."""
-    value = null_nan(F.col(column).cast("double"))
-    bounded = df.select(value.alias("_value")).withColumn("_b", _bounds(df, [column]).scalar())
-    lo, hi = F.col(f"_b.lo_{column}"), F.col(f"_b.hi_{column}")
-    binned = bounded.where(F.col("_value").isNotNull()).select(
-        _bin(F.col("_value"), lo, hi, bins).alias("bin"), lo.alias("_lo"), ((hi - lo) / bins).alias("_width")
+    known = df.select(null_nan(F.col(column).cast("double")).alias("v")).where(F.col("v").isNotNull())
+    bounds = known.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("bounds"))
+    lo, hi = F.col("b.lo"), F.col("b.hi")
+    binned = known.withColumn("b", bounds.scalar()).select(
+        _bin(F.col("v"), lo, hi, bins).alias("bin"), lo.alias("_lo"), ((hi - lo) / bins).alias("_width")
     )
     return (
         binned.groupBy("bin", "_lo", "_width")
@@ -236,18 +232,17 @@ def infer_expectations(profile: DataFrame, domain_limit: int = DOMAIN_LIMIT) ->
     )
 
 
+def _string_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Known values of the given string columns in long form."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, value string")
+    return df.select(*columns).unpivot([], list(columns), "column_name", "value").where(F.col("value").isNotNull())
+
+
 def _string_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Known values of the string columns with their frequency, in long form."""
+    """Known values of the string columns with their frequency."""
     names = [c for c in columns or df.columns if kind_of(df.schema[c].dataType) == "string"]
-    if not names:
-        return df.sparkSession.createDataFrame([], "column_name string, value string, n_rows long")
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in names]
-    return (
-        df.select(F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    return _string_cells(df, names).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def infer_domains(df: DataFrame, rules: DataFrame) -> DataFrame:
@@ -346,24 +341,20 @@ def drift_distance(serve: DataFrame, train: DataFrame, columns: Sequence[str] |
     if not names:
         raise ValueError("no common numeric columns")
 
-    def sample(df: DataFrame, flag: int) -> DataFrame:
-        cleaned = [null_nan(F.col(c).cast("double")).alias(c) for c in names]
-        return df.select(*cleaned, F.lit(flag).alias("_serving"))
-
-    both = sample(serve, 1).unionByName(sample(train, 0))
-    bounded = both.withColumn("_b", _bounds(both, names).scalar())
-    cells = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            _bin(F.col(c), F.col(f"_b.lo_{c}"), F.col(f"_b.hi_{c}"), bins).alias("bin"),
-        )
-        for c in names
-    ]
+    numbers = _known_numbers(names)
+    cells = (
+        _cells(numbers, serve).withColumn("serving", F.lit(1))
+        .unionByName(_cells(numbers, train).withColumn("serving", F.lit(0)))
+        .where(F.col("v").isNotNull())
+    )
+    extent = cells.groupBy("c").agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("range"))
+    ranges = extent.agg(F.map_from_entries(F.collect_list(F.struct("c", "range"))).alias("ranges"))  # a row per column
+    own = F.col("ranges")[F.col("c")]
     counts = (
-        bounded.select("_serving", F.inline(F.array(*cells)))
-        .where(F.col("bin").isNotNull())
-        .groupBy("column_name", "bin")
-        .agg(F.sum("_serving").alias("n_serve"), F.sum(1 - F.col("_serving")).alias("n_train"))
+        cells.withColumn("ranges", ranges.scalar())
+        .groupBy("c", _bin(F.col("v"), own.lo, own.hi, bins).alias("bin"))
+        .agg(F.sum("serving").alias("n_serve"), F.sum(1 - F.col("serving")).alias("n_train"))
+        .select(_name(names).alias("column_name"), "bin", "n_serve", "n_train")
     )
     # from here on: at most `bins` rows per column
     whole = Window.partitionBy("column_name")
