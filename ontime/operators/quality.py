@@ -5,7 +5,8 @@ Everything runs over whole tables as aggregations; the results have one row per
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import cycle
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,7 +72,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = MEDIAN_BINS
 
     Each round counts the values per bin of the range that still holds a column's median and narrows the range to the
     smallest and largest value of the right bin. Both ends have bins of their own, so that every round gets nearer
-    whatever the values are. Tasks keep at most ``bins`` counters per column, no values are gathered, and one row per
+    whatever the values are; even rounds have equally wide bins, odd ones bins by magnitude, which settles values that
+    differ by many powers of ten. Tasks keep at most ``bins`` counters per column, no values are gathered, and one row per
     column comes back; a quantile sketch would instead send the sketches of all tasks to a single one.
     """
     if not columns:
@@ -80,16 +82,27 @@ def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = MEDIAN_BINS
     extent = cells.groupBy("c").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     ranges = {r["c"]: (r["lo"], r["hi"], (r["n"] + 1) // 2) for r in extent.collect()}  # one row per column
     medians: dict[str, float] = {}
-    while ranges:
+    for scale in cycle((_as_is, _magnitude)):
         medians |= {columns[c]: lo for c, (lo, hi, _rank) in ranges.items() if lo == hi}
         ranges = {c: r for c, r in ranges.items() if columns[c] not in medians}
-        if ranges:
-            ranges = _narrowed(cells, ranges, len(columns), bins)
-    return medians
+        if not ranges:
+            return medians
+        ranges = _narrowed(cells, ranges, len(columns), bins, scale)
+
+
+def _as_is(value: Column) -> Column:
+    return value
+
+
+def _magnitude(value: Column) -> Column:
+    """Signed logarithm that never decreases with the value: above zero for all positive doubles, zero at zero."""
+    above_smallest = F.log2(F.abs(value)) + 1080
+    return F.when(value == 0, 0.0).otherwise(F.signum(value) * above_smallest)
 
 
 def _narrowed(
-    cells: DataFrame, ranges: dict[int, tuple[float, float, int]], n_columns: int, bins: int
+    cells: DataFrame, ranges: dict[int, tuple[float, float, int]], n_columns: int, bins: int,
+    scale: Callable[[Column], Column],
 ) -> dict[int, tuple[float, float, int]]:
     def of_column(part: int, absent: float | int) -> Column:
         return F.array(*[F.lit(ranges[c][part] if c in ranges else absent) for c in range(n_columns)])[F.col("c")]
@@ -98,7 +111,8 @@ def _narrowed(
     inside = cells.select("c", "v", of_column(0, nothing[0]).alias("lo"), of_column(1, nothing[1]).alias("hi")).where(
         F.col("v").between(F.col("lo"), F.col("hi"))
     )
-    share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    value, lo, hi = (scale(F.col(x)) for x in ("v", "lo", "hi"))
+    share = F.coalesce(F.try_divide(value - lo, hi - lo), F.lit(0.0))
     inner = F.when(F.isnan(share), 0).otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
     place = F.when(F.col("v") == F.col("lo"), -1).when(F.col("v") == F.col("hi"), bins).otherwise(inner).cast("int")
     counts = (
