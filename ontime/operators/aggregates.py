@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.columns import delay_level, hour_of, null_nan, route, station_code
@@ -99,31 +99,33 @@ def delay_level_counts(df: DataFrame, delay: str = "dep_delay_new", carrier: str
     return df.groupBy(carrier, delay_level(delay).alias("level")).agg(F.count(F.lit(1)).alias("n_trips"))
 
 
-def _correlation(a: str, b: str) -> Column:
-    # F.corr divides by zero, an error under ANSI rules, when one side is constant over the rows of the pair
-    spread = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
-    return F.try_divide(F.covar_pop(a, b), spread)
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns in long form, over the rows where both are known.
 
-    All coefficients come from one aggregation; pairs with fewer than two rows or a constant side are NULL.
+    The values are grouped by pair, so that the generated code stays small for many columns and only one row per pair
+    and task is shuffled. Pairs without two different values on both sides are NULL.
     """
+    pairs = list(combinations_with_replacement(columns, 2))
     cleaned = df.select(*[null_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    upper = [_correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    spread = [
-        F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"d{i}") for i, c in enumerate(columns)
-    ]
-    entries = [(a, b, f"p{i}") for i, (a, b) in enumerate(pairs)]
-    entries += [(b, a, name) for a, b, name in entries]
-    entries += [(c, c, f"d{i}") for i, c in enumerate(columns)]
-    cells = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(name).alias("correlation"))
-        for a, b, name in entries
-    ]
-    return cleaned.agg(*spread, *upper).select(F.inline(F.array(*cells)))
+    cells = [cell for i, (a, b) in enumerate(pairs) for cell in (F.lit(i), F.col(a), F.col(b))]
+    both = cleaned.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "a", "b")).select(
+        "pair",
+        F.when(F.col("b").isNotNull(), F.col("a")).alias("a"),
+        F.when(F.col("a").isNotNull(), F.col("b")).alias("b"),
+    )
+    # F.corr divides by zero, an error under ANSI rules, when one side is constant
+    measured = both.groupBy("pair").agg(
+        F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("r")
+    )
+    listed = df.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, column_a string, column_b string"
+    )
+    a, b = F.col("column_a"), F.col("column_b")
+    exact = F.when((a == b) & F.col("r").isNotNull(), 1.0).otherwise(F.col("r")).alias("correlation")
+    ordered = F.when(a == b, F.array(F.struct(a, b))).otherwise(
+        F.array(F.struct(a, b), F.struct(b.alias("column_a"), a.alias("column_b")))
+    )
+    return listed.join(measured, "pair", "left").select(F.inline(ordered), exact)
 
 
 def date_bounds(df: DataFrame, column: str = "fl_date") -> DataFrame:
