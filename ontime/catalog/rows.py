@@ -535,6 +535,32 @@ _builder(
 )
 
 
+_DEP_CLOCK = clock_sql("fl_date", "crs_dep_time")
+
+
+@query(
+    "minute_text",
+    with_flights(f"select flight_id, strftime({_DEP_CLOCK}, '%Y-%m-%d %H:%M') as text from flights_v"),
+)
+def _(spark, sf_dir):
+    rows = flights_v(spark, sf_dir)
+    return rows.select("flight_id", c.minute_text(c.hhmm_timestamp("fl_date", "crs_dep_time")).alias("text"))
+
+
+@query(
+    "at_time_of_day",
+    with_flights(
+        f"select flight_id, timestamp '2024-03-01 00:00:00' + ({_DEP_CLOCK} - date_trunc('day', {_DEP_CLOCK})) as moved "
+        "from flights_v"
+    ),
+)
+def _(spark, sf_dir):
+    departs = c.hhmm_timestamp("fl_date", "crs_dep_time")
+    return flights_v(spark, sf_dir).select(
+        "flight_id", c.at_time_of_day(F.lit(date(2024, 3, 1)), departs).alias("moved")
+    )
+
+
 @query(
     "roll_overnight",
     with_flights(

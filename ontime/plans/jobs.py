@@ -38,7 +38,8 @@ def etl_job(
     """
     hourly = stage_table(hourly_weather(weather_for(weather, params)))
     silver = silver_flights(flights, params, tie=tie, keep=tie)
-    return publish_table(enriched_flights(silver, hourly, keep=tie), table, path, partition_by=partition_by)
+    enriched = enriched_flights(silver, hourly, keep=tie)
+    return publish_table(enriched, table, path, partition_by=partition_by, stage_first=False)
 
 
 @dataclass

@@ -53,6 +53,13 @@ def _reads_from(df: DataFrame, path: str) -> bool:
     return any(folder in name.split(":", 1)[-1] for name in df.inputFiles())
 
 
+def _safe_source(df: DataFrame, path: str | None, stage_first: bool | None) -> DataFrame:
+    # An overwrite empties its target before the scan, and Spark does not object to a plan that reads the target.
+    if path is None:
+        return df
+    return stage_table(df) if (_reads_from(df, path) if stage_first is None else stage_first) else df
+
+
 def stage_table(df: DataFrame, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write between two stages and go on from the written table: its size is then known to the optimizer."""
     target = path or stage_path(df.sparkSession, "stage")
@@ -60,28 +67,38 @@ def stage_table(df: DataFrame, path: str | None = None, partition_by: Sequence[s
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
-def replace_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def replace_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), stage_first: bool | None = None
+) -> DataFrame:
     """Replace the contents of ``path`` and return it as read back.
 
-    A plan that reads ``path`` itself is staged first, because an overwrite empties the target before the scan.
+    A plan that reads ``path`` itself is written to a stage table first. ``None`` finds that out from the names of all
+    input files; with millions of them, say it with ``True`` or ``False``.
     """
-    source = stage_table(df) if _reads_from(df, path) else df
+    source = _safe_source(df, path, stage_first)
     _writer(source, partition_by, "overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def publish_predictions(df: DataFrame, path: str, partition_by: Sequence[str] = ("airport",)) -> DataFrame:
-    """Replace the predictions of the airports present in ``df`` and keep all others."""
+    """Replace the predictions of the airports present in ``df`` and keep all others.
+
+    Spark swaps these partitions in when the write is complete, so ``df`` may even read from ``path``.
+    """
     writer = _writer(df, partition_by, "overwrite").option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def publish_table(
-    df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet", partition_by: Sequence[str] = ()
+    df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet", partition_by: Sequence[str] = (),
+    stage_first: bool | None = None,
 ) -> DataFrame:
-    """Replace a catalog table, external when ``path`` is given; other formats need their data source jar."""
-    source = stage_table(df) if path and _reads_from(df, path) else df
+    """Replace a catalog table, external when ``path`` is given; other formats need their data source jar.
+
+    ``stage_first`` as in ``replace_parquet``.
+    """
+    source = _safe_source(df, path, stage_first)
     writer = _writer(source, partition_by, "overwrite").format(fmt)
     if path:
         writer = writer.option("path", path)

@@ -178,6 +178,16 @@ def test_replace_reads_and_writes_the_same_path(spark):
     again = sinks.replace_parquet(first.where("id >= 4"), path)
     assert again.count() == 6
     assert sinks.publish_table(again.where("id >= 8"), "ontime_self", path).count() == 2
+    stored = sinks.replace_parquet(spark.range(4), path, stage_first=False)
+    assert sinks.replace_parquet(stored.where("id > 0"), path, stage_first=True).count() == 3
+
+
+def test_predictions_may_read_their_own_path(spark):
+    path = sinks.stage_path(spark, "predictions")
+    frame = spark.createDataFrame([(1, "A"), (2, "B"), (3, "B")], "i int, airport string")
+    stored = sinks.publish_predictions(frame, path)
+    out = sinks.publish_predictions(stored.where("i <> 2"), path)
+    assert rows(out, "i", "airport") == [(1, "A"), (3, "B")]
 
 
 def test_predictions_replace_one_airport_only(spark):
