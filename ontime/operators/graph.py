@@ -35,8 +35,8 @@ def edge_query(edges: DataFrame, end: str, code: str, keys: Sequence[str], agg:
     return filter_edges(edges, end, code).groupBy(*keys).agg(agg)
 
 
-def transition_weights(vertices: DataFrame, edges: DataFrame, hub_edges: int = HUB_EDGES) -> tuple[DataFrame, DataFrame]:
-    """Parallel edges collapsed to (src, part, dst, weight), and the vertices with their number of parts.
+def transition_weights(vertices: DataFrame, edges: DataFrame, hub_edges: int = HUB_EDGES) -> DataFrame:
+    """Parallel edges collapsed to (src, part, dst, weight), with the number of parts of the source.
 
     The weight is the pair's share of the source's edges. Edges that leave the vertex set are dropped. Collapsing first
     means that everything after handles at most one row per pair of vertices, however many trips there are. A source
@@ -54,14 +54,13 @@ def transition_weights(vertices: DataFrame, edges: DataFrame, hub_edges: int = H
     # a hub's pairs are spread over several tasks here too: the degrees are repeated once per salt value
     salted = degree.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(DEGREE_SALT - 1))))
     keyed = inside.withColumn("salt", F.pmod(F.xxhash64("dst"), F.lit(DEGREE_SALT)).cast("int"))
-    weights = keyed.join(salted, ["src", "salt"]).select(
+    return keyed.join(salted, ["src", "salt"]).select(
         "src",
+        "parts",
         F.pmod(F.xxhash64("dst", F.lit(1)), F.col("parts")).cast("int").alias("part"),
         "dst",
         (F.col("n_edges") / F.col("out_degree")).alias("weight"),
     )
-    split = known.join(degree, known.id == degree.src, "left").select("id", F.coalesce("parts", F.lit(1)).alias("parts"))
-    return weights, split
 
 
 def pagerank(
@@ -77,9 +76,15 @@ def pagerank(
     The collapsed edges are written once and every round reads them; their shuffle is the same in all rounds and thus
     reused. The ranks are written every few rounds to bound the plan.
     """
-    weights, split = (stage_table(df) for df in transition_weights(vertices, edges, hub_edges))
+    weighted = stage_table(transition_weights(vertices, edges, hub_edges))
+    parts = weighted.groupBy("src").agg(F.max("parts").alias("parts"))
+    known = vertices.where(F.col("id").isNotNull()).select("id").distinct()
+    split = stage_table(
+        known.join(parts, known.id == parts.src, "left").select("id", F.coalesce("parts", F.lit(1)).alias("parts"))
+    )
     # stating what the later joins imply keeps the plan of the edges, and so their shuffle, the same in every round
-    weights, split = weights.dropna(subset=["src", "dst"]), split.dropna(subset=["id"])
+    weights = weighted.drop("parts").where("src IS NOT NULL AND part IS NOT NULL AND dst IS NOT NULL")
+    split = split.where("id IS NOT NULL")
     silent = split.select("id", "parts", F.lit(0.0).alias("received"))
     ranks = split.withColumn("pagerank", F.lit(1.0))
     for step in range(1, iters + 1):

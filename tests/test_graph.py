@@ -36,3 +36,22 @@ def test_pagerank(spark, options):
     known = {k: v for k, v in options.items() if k in ("iters", "reset")}
     assert got == pytest.approx(brute_force(names, edges, **known))
     assert sum(got.values()) == pytest.approx(len(names))
+
+
+def test_every_round_reuses_the_shuffle_of_the_edges(spark, monkeypatch):
+    from ontime.operators import graph
+
+    written = []
+
+    def recorded(df, *args):
+        written.append(df)
+        return stage_table(df, *args)
+
+    stage_table = graph.stage_table
+    monkeypatch.setattr(graph, "stage_table", recorded)
+    edges = spark.createDataFrame([(f"v{i % 7}", f"v{i % 5}") for i in range(50)], "src string, dst string")
+    pagerank(edges.selectExpr("src AS id"), edges, iters=4)
+    ranks = written[-1]
+    ranks.collect()
+    final_plan = ranks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final_plan.count("ReusedExchange") == 3
