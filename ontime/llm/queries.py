@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ontime.llm.common import fresh_folder, table
 from ontime.llm.exact_dedup import exact_groups
+from ontime.llm.minhash import near_duplicates
 from ontime.llm.mixing import entropy_mix
 from ontime.llm.quality_classifier import quality
 from ontime.llm.quality_rules import quality_rules
@@ -23,6 +24,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=85)
+
+
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
@@ -48,7 +53,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_mix(table(spark, sf_dir, "documents")).drop("copies", "row_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op4_warc_archive, op5_secret_ledger, op6_quality_ratio, op8_toxicity, op9_exact_dedup, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_near_duplicates, op4_warc_archive, op5_secret_ledger, op6_quality_ratio, op8_toxicity, op9_exact_dedup, op10_source_mixing)}
 
 ORACLES = {
     "op4_warc_archive": """

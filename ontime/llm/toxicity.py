@@ -11,17 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.llm.common import fold, prepare_workers, slices, training_sample
-from ontime.llm.textarrays import lower_bytes, space_bytes, utf8
+from ontime.llm.textarrays import lower_bytes, space_bytes, utf8, word_bounds, word_hashes
 
 GRAMS = (3, 4, 5)
 BUCKET_BITS = 18
-DIMENSION = 8
+DIMENSION = 4
 PER_CLASS = 3000
-MAX_CHARS = 20_000
-EPOCHS = 12
+MAX_CHARS = 4_000
+EPOCHS = 15
 BATCH = 128
 RATE = 0.03
-DECAY = 1e-4
+SHRINK = 20
+DECAY = 1e-2
 CUT = 0.7
 
 
@@ -53,21 +54,45 @@ class Model:
 
     def score(self, column: pa.Array) -> np.ndarray:
         raw, offsets = utf8(column)
-        sums = np.zeros(len(column))
-        counts = np.zeros(len(column))
+        low = lower_bytes()[raw]
+        starts, ends, first = word_bounds(raw, offsets)
+        _, sample, which = np.unique(word_hashes(low, starts, ends), return_index=True, return_inverse=True)
+        letters, borders = _spelled(low, starts[sample], ends[sample])
+        of_word = np.zeros((2, len(sample)))
         for size in GRAMS:
-            buckets, whole = gram_buckets(raw, size)
-            ends = np.minimum(offsets, len(buckets))
-            found = np.concatenate(([0.0], np.cumsum(np.where(whole, self.evidence[buckets], 0.0), dtype=np.float64)))
-            sums += found[ends[1:]] - found[ends[:-1]]
-            number = np.concatenate(([0], np.cumsum(whole)))
-            counts += number[ends[1:]] - number[ends[:-1]]
-        logit = self.bias + sums / np.maximum(counts, 1)
+            buckets, whole = gram_buckets(letters, size)
+            at = np.minimum(borders, len(buckets))
+            for row, values in enumerate((np.where(whole, self.evidence[buckets], 0.0), whole)):
+                running = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
+                of_word[row] += running[at[1:]] - running[at[:-1]]
+        totals = np.zeros((2, len(which) + 1))
+        np.cumsum(of_word[:, which], axis=1, out=totals[:, 1:])
+        sums, counts = totals[:, first[1:]] - totals[:, first[:-1]]
+        doc = np.repeat(np.arange(len(column)), np.diff(first))
+        pairs = np.unique(doc * max(len(sample), 1) + which)
+        distinct = np.bincount(pairs // max(len(sample), 1), minlength=len(column))
+        logit = self.bias + sums / np.maximum(counts, 1) * distinct / (distinct + SHRINK)
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
+def _spelled(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The given words, each between two spaces, in one row of bytes, and where each begins."""
+    lengths = ends - starts + 2
+    borders = np.concatenate(([0], np.cumsum(lengths)))
+    inside = np.arange(borders[-1]) - np.repeat(borders[:-1], lengths)
+    place = np.repeat(starts - 1, lengths) + inside
+    edge = (inside == 0) | (inside == np.repeat(lengths - 1, lengths))
+    place[edge] = 0
+    letters = low[place] if len(low) else np.zeros(0, np.uint8)
+    letters[edge] = 32
+    return letters, borders
+
+
 def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct buckets of all texts, their shares within each text, and where each text starts."""
+    """Distinct buckets of all texts, their shares within each text, and where each text starts.
+
+    Shares are drawn towards zero for texts of few distinct words, whose average says little.
+    """
     places, shares, starts = [], [], [0]
     for text in texts:
         raw = np.frombuffer(f" {text} ".encode(), dtype=np.uint8)
@@ -76,8 +101,9 @@ def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             buckets, whole = gram_buckets(raw, size)
             found.append(buckets[whole])
         ids, times = np.unique(np.concatenate(found), return_counts=True)
+        distinct = len(set(lower_bytes()[raw].tobytes().split()))
         places.append(ids.astype(np.int32))
-        shares.append((times / max(times.sum(), 1)).astype(np.float32))
+        shares.append((times / max(times.sum(), 1) * distinct / (distinct + SHRINK)).astype(np.float32))
         starts.append(starts[-1] + len(ids))
     return np.concatenate(places), np.concatenate(shares), np.array(starts)
 
@@ -147,8 +173,7 @@ def fit_from(documents: DataFrame, labels: DataFrame, usable: Column, per_class:
 def score_texts(documents: DataFrame, model: Model, *keep: str) -> DataFrame:
     """The columns ``keep`` and the score of every whole text (null counts as empty)."""
     prepare_workers(documents.sparkSession)
-    padded = F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" ")).alias("_text")
-    wide = documents.select(*keep, padded)
+    wide = documents.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
     names = [*keep, "score"]
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
