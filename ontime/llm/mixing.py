@@ -129,6 +129,7 @@ def entropy_mix(
             "doc_id",
             F.col("source").alias("_source"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_size"),
+            F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"),
             F.monotonically_increasing_id().alias("row_id"),
         ),
         "sizes",
@@ -182,5 +183,21 @@ def entropy_mix(
         "target",
         (F.col("copies") * F.col("_size")).alias("taken"),
         "copies",
+        "text_key",
         "row_id",
     )
+
+
+def mixed_documents(documents: DataFrame, **options) -> DataFrame:
+    """The rows of ``documents`` as often as ``entropy_mix`` takes them, all columns.
+
+    Rows that repeat a doc_id and a text take the sum of their copies.
+    """
+    text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    copies = entropy_mix(documents.select("doc_id", "source", "text"), **options).where("copies > 0")
+    taken = copies.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.sum("copies").alias("_copies"))
+    single = documents.withColumn("_own", text_key).dropDuplicates(["doc_id", "_own"])
+    joined = single.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")))
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return repeated.select(*columns)

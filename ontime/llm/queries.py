@@ -11,6 +11,7 @@ from ontime.llm.mixing import entropy_mix
 from ontime.llm.quality_classifier import quality
 from ontime.llm.quality_rules import quality_rules
 from ontime.llm.secret_scan import secret_spans
+from ontime.llm.segmentation import sample_segmentations
 from ontime.llm.token_counts import token_counts
 from ontime.llm.toxicity import toxicity
 from ontime.llm.warc import archived_pages
@@ -41,6 +42,10 @@ def op6_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_segmentations(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,10 +55,16 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entropy_mix(table(spark, sf_dir, "documents")).drop("copies", "row_id")
+    return entropy_mix(table(spark, sf_dir, "documents")).drop("copies", "text_key", "row_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_near_duplicates, op4_warc_archive, op5_secret_ledger, op6_quality_ratio, op8_toxicity, op9_exact_dedup, op10_source_mixing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_quality_classifier, op3_near_duplicates, op4_warc_archive, op5_secret_ledger,
+        op6_quality_ratio, op7_segmentations, op8_toxicity, op9_exact_dedup, op10_source_mixing,
+    )
+}
 
 ORACLES = {
     "op4_warc_archive": """

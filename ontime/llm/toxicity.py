@@ -170,19 +170,19 @@ def fit_from(documents: DataFrame, labels: DataFrame, usable: Column, per_class:
     return fit([r["text"] for r in rows], [r["y"] for r in rows], share or 0.0)
 
 
-def score_texts(documents: DataFrame, model: Model, *keep: str) -> DataFrame:
+def score_texts(documents: DataFrame, model: Model, *keep: str, score_name: str = "score") -> DataFrame:
     """The columns ``keep`` and the score of every whole text (null counts as empty)."""
     prepare_workers(documents.sparkSession)
-    wide = documents.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
-    names = [*keep, "score"]
+    wide = documents.select(*[F.col(f"`{c}`") for c in keep], F.coalesce("text", F.lit("")).alias("_whole_text"))
+    names = [*keep, score_name]
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 2_000_000):
+        for batch in slices(batches, "_whole_text", 2_000_000):
             found = model.score(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names)
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
-    return wide.mapInArrow(scores, f"{kinds}, score double")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in wide.drop("_whole_text").schema]
+    return wide.mapInArrow(scores, ", ".join([*kinds, f"`{score_name}` double"]))
 
 
 def held_out() -> Column:
