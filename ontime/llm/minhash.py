@@ -19,12 +19,13 @@ SIMILARITY = 80
 BANDS = 32
 ROWS = 4
 BLOCK = 256
+FINE = 1024
 _HASHES = BANDS * ROWS
 
 
-def _coefficients() -> tuple[np.ndarray, np.ndarray]:
-    seeds = mix(np.arange(1, 2 * _HASHES + 1, dtype=U64))
-    return (seeds[:_HASHES] | U64(1)).astype(np.uint32)[:, None], seeds[_HASHES:].astype(np.uint32)[:, None]
+def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = mix(np.arange(1, 2 * n + 1, dtype=U64))
+    return (seeds[:n] | U64(1)).astype(np.uint32)[:, None], seeds[n:].astype(np.uint32)[:, None]
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -52,13 +53,14 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, U64)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The least value of each universal hash a * x + b modulo 2**32 over the set."""
-    a, b = _coefficients()
+def minima(shingles: np.ndarray, n: int = _HASHES) -> np.ndarray:
+    """The least value of each of ``n`` universal hashes a * x + b modulo 2**32 over the set."""
+    a, b = _coefficients(n)
     x = (shingles >> U64(32)).astype(np.uint32)
-    low = np.full(_HASHES, 0xFFFFFFFF, dtype=np.uint32)
-    for start in range(0, len(x), 2048):
-        low = np.minimum(low, (a * x[None, start : start + 2048] + b).min(axis=1))
+    low = np.full(n, 0xFFFFFFFF, dtype=np.uint32)
+    step = (1 << 18) // n
+    for start in range(0, len(x), step):
+        low = np.minimum(low, (a * x[None, start : start + step] + b).min(axis=1))
     return low
 
 
@@ -84,10 +86,10 @@ def _sketches(documents: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, set_key binary, minima binary, bits binary")
 
 
-def _cutoff(similarity: int) -> float:
-    """Agreement of signatures below which a pair at the threshold falls with a chance under 1e-9."""
+def _least_agreement(similarity: int, n: int) -> float:
+    """Equal entries of two signatures of ``n``: a pair at the threshold falls short with a chance under 1e-9."""
     s = similarity / 100
-    return s - 6.5 * (s * (1 - s) / _HASHES) ** 0.5
+    return n * s - 6.5 * (n * s * (1 - s)) ** 0.5
 
 
 def _near(n_a: np.ndarray, n_b: np.ndarray, similarity: int) -> np.ndarray:
@@ -100,7 +102,7 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame, similarity: int) -> DataFra
     fits = F.lit(100) * F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b")
     both = pairs.join(sides[0], "a").join(sides[1], "b").where(fits).select("a", "b", "bits_a", "bits_b")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.select("a", "b").schema)
-    least = _cutoff(similarity) * _HASHES
+    least = _least_agreement(similarity, _HASHES)
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,37 +131,51 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, words: int, similarity: i
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), U64) for v in (x, y))
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * shared >= similarity * (len(p) + len(q) - shared))
+            keep = [_similar(x, y, similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             chosen = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], ["a", "b"])
 
     return both.mapInArrow(confirm, f"a {kind}, b {kind}")
 
 
-def _open_pairs(members: DataFrame, sketches: DataFrame, components: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) that share a bucket but no component yet and whose signatures agree.
+def _open_links(
+    members: DataFrame, sketches: DataFrame, components: DataFrame, documents: DataFrame, words: int, similarity: int
+) -> DataFrame:
+    """Links (a, b) between documents that share a bucket but no component yet.
 
     A bucket is cut into blocks of about ``BLOCK`` members, and each pair of blocks is one small piece of work, so a bucket
-    of any size is searched completely by many tasks; only agreeing pairs come out of a piece.
+    of any size is searched completely by many tasks. A pair is looked at in the first band alone that it shares. Here the
+    documents bring signatures of ``FINE`` hashes and their full sets along, so that only confirmed links come out, and of
+    these no more than join the components of a piece.
     """
     kind = sketches.schema["doc_id"].dataType.simpleString()
-    placed = members.join(components, members["doc_id"] == components["node"], "left").select(
-        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("own")
+    placed = stage(
+        members.join(components, members["doc_id"] == components["node"], "left").select(
+            "bucket", "band", "doc_id", F.coalesce("component", "doc_id").alias("own")
+        ),
+        "placed",
     )
-    placed = stage(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("own").alias("_lo"), F.max("own").alias("_hi"), F.count(F.lit(1)).alias("_n"))
     mixed = mixed.where("_lo <> _hi").select("bucket", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
     left = stage(placed.join(mixed, "bucket"), "open")
+
+    def fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2_000_000):
+            sets = list(shingle_sets(batch.column(1), words))
+            found = [(minima(s, FINE) & np.uint32(255)).astype(np.uint8).tobytes() for s in sets]
+            full = pa.array([s.tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), full], ["doc_id", "fine", "shingles"])
+
+    texts = documents.join(stage(left.select("doc_id").distinct(), "wanted"), "doc_id", "left_semi")
+    signed = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(fine, f"doc_id {kind}, fine binary, shingles binary")
+    known = stage(sketches.select("doc_id", "n_shingles", "minima").join(signed, "doc_id"), "signed")
+
     mine = F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     spread = left.withColumn("_mine", mine).withColumn("_other", other)
     piece = F.xxhash64("bucket", F.least("_mine", "_other"), F.greatest("_mine", "_other"))
-    rows = spread.select(piece.alias("piece"), "doc_id", "own").join(sketches.select("doc_id", "n_shingles", "bits"), "doc_id")
-    least = _cutoff(similarity) * _HASHES
+    rows = spread.select(piece.alias("piece"), "band", "doc_id", "own").join(known, "doc_id")
+    least = _least_agreement(similarity, FINE)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -174,43 +190,58 @@ def _open_pairs(members: DataFrame, sketches: DataFrame, components: DataFrame,
         if held:
             yield from _pairs_within(pa.Table.from_batches(held), least, similarity)
 
-    ordered = rows.select("piece", "doc_id", "own", "n_shingles", "bits").repartition("piece").sortWithinPartitions("piece")
-    return ordered.mapInArrow(search, f"a {kind}, b {kind}").distinct()
+    ordered = rows.select("piece", "band", "doc_id", "own", "n_shingles", "minima", "fine", "shingles")
+    return ordered.repartition("piece").sortWithinPartitions("piece").mapInArrow(search, f"a {kind}, b {kind}").distinct()
 
 
 def _pairs_within(table: pa.Table, least: float, similarity: int) -> Iterator[pa.RecordBatch]:
     if not table.num_rows:
         return
-    pieces, sizes = table.column("piece").to_numpy(), table.column("n_shingles").to_numpy()
-    ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
-    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(-1, _HASHES)
+    pieces, bands, ids, own, sizes = (table.column(i).to_numpy() for i in range(5))
+    lows = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
+    bits = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+    sets = table.column("shingles").combine_chunks()
     cuts = np.flatnonzero(np.diff(pieces)) + 1
-    firsts, seconds = [], []
+    links = []
     for a, b in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(pieces)])), strict=True):
-        if b - a < 2:
-            continue
+        roots: dict[int, int] = {}
+
+        def root(component: int, roots: dict[int, int] = roots) -> int:
+            while component in roots:
+                component = roots[component]
+            return component
+
         for i in range(a, b - 1):
             rest = slice(i + 1, b)
             fit = np.flatnonzero((own[rest] != own[i]) & _near(sizes[rest], sizes[i], similarity)) + i + 1
-            if len(fit):
-                close = fit[(bits[fit] == bits[i]).sum(axis=1) >= least]
-                firsts.append(np.minimum(ids[close], ids[i]))
-                seconds.append(np.maximum(ids[close], ids[i]))
-    if firsts:
-        pairs = [pa.array(np.concatenate(x)) for x in (firsts, seconds)]
-        yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+            if not len(fit):
+                continue
+            fit = fit[np.argmax((lows[fit] == lows[i]).all(axis=2), axis=1) == bands[i]]
+            for j in fit[(bits[fit] == bits[i]).sum(axis=1) >= least]:
+                x, y = root(own[i]), root(own[j])
+                if x != y and _similar(sets[i], sets[j], similarity):
+                    roots[max(x, y)] = min(x, y)
+                    links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    if links:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
+
+
+def _similar(x: pa.BinaryScalar, y: pa.BinaryScalar, similarity: int) -> bool:
+    p, q = (np.frombuffer(v.as_buffer(), U64) for v in (x, y))
+    shared = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * shared >= similarity * (len(p) + len(q) - shared)
 
 
 def near_duplicates(documents: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``documents`` (doc_id, text).
+    """doc_id, n_shingles, component_id and kept for every row of ``documents`` (doc_id a whole number, text).
 
     A text's set holds its distinct shingles of ``words`` words; two documents are linked when the shared part of their
     sets is at least ``similarity`` percent of the joint one; component_id is the smallest doc_id that links reach.
 
     Equal sets are one class, which takes part once, whatever its size. Classes with equal minima in one of ``BANDS`` bands
     of ``ROWS`` hashes share a bucket (at the least similarity of 80 percent a pair misses all bands with a chance of
-    5e-8). First each bucket's members are compared with its smallest one, and components are built. Buckets that then
-    still hold several components are searched for links between these, block by block. No pairs are dropped or capped,
+    5e-8). First each bucket's members are compared with one of them, another in each bucket, and components are built.
+    Buckets that then still hold several components are searched for links between these, block by block. No pairs are dropped or capped,
     and pairs within a component need no comparison.
 
     Texts without words, and null texts, are linked with nothing; a null doc_id neither (its component is null, kept
@@ -218,7 +249,7 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, similarity: int =
     result; other columns are ignored.
     """
     prepare_workers(documents.sparkSession)
-    documents = documents.select("doc_id", "text")
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = stage(_sketches(documents, words), "sketches")
     usable = sketches.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     classes = stage(usable.groupBy("set_key").agg(F.min("doc_id").alias("first")), "classes")
@@ -227,19 +258,20 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, similarity: int =
 
     step = 4 * ROWS
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("minima", i * step + 1, F.lit(step))))
-    buckets = single.select("doc_id", F.explode(bands).alias("bucket"))
-    centers = buckets.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("_last"))
-    shared = centers.where("center <> _last").select("bucket", "center")
+    buckets = single.select("doc_id", F.posexplode(bands).alias("band", "bucket"))
+    # The member that is smallest after its number is crossed with the bucket's: a different one in each bucket.
+    crossed = F.col("doc_id").bitwiseXOR(F.col("bucket"))
+    centers = buckets.groupBy("bucket").agg(F.min(crossed).alias("_low"), F.max(crossed).alias("_high"))
+    shared = centers.where("_low <> _high").select("bucket", F.col("_low").bitwiseXOR(F.col("bucket")).alias("center"))
     members = stage(buckets.join(shared, "bucket"), "members")
 
-    stars = members.where("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = members.where("doc_id <> center").select(F.least("center", "doc_id").alias("a"), F.greatest("center", "doc_id").alias("b")).distinct()
     agreed = stage(_agreeing(stars, single, similarity), "agreed")
     links = stage(_confirmed(agreed, documents, words, similarity), "links")
     components = connected_components(links)
-    more = stage(_open_pairs(members.drop("center"), single, components, similarity), "agreed")
+    more = stage(_open_links(members.drop("center"), single, components, documents, words, similarity), "links")
     if not more.isEmpty():
-        links = links.unionByName(stage(_confirmed(more, documents, words, similarity), "links"))
-        components = connected_components(links)
+        components = connected_components(links.unionByName(more))
 
     named = classes.join(components, classes["first"] == components["node"], "left")
     groups = stage(named.select("set_key", F.coalesce("component", "first").alias("component_id")), "groups")

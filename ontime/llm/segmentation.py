@@ -188,8 +188,10 @@ def build_lattices(texts: Sequence[str], words: Vocabulary) -> Lattices:
         shares = np.exp((ways - most).astype(np.float32))
         whole = shares.sum(axis=1, keepdims=True)
         beta[place] = (most + np.log(whole))[:, 0]
-        upto[place, :k] = np.cumsum(shares / whole, axis=1)
-        upto[place, k - 1] = 1.0
+        running = np.cumsum(shares / whole, axis=1)
+        last = k - 1 - np.argmax(shares[:, ::-1] > 0, axis=1)
+        running[np.arange(k) >= last[:, None]] = 1.0  # whatever the rounding, no length without a piece is drawn
+        upto[place, :k] = running
     docs = np.searchsorted(begins, borders)
     return Lattices(docs, offsets[:-1][which], edge, log, beta, upto)
 
