@@ -134,7 +134,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if stream is None:
                     path, count, size = f"{root}/part-{uuid4().hex}.warc.zst", 0, len(lead)
-                    stream = system.open_output_stream(path)
+                    stream = system.open_output_stream(path, compression=None)
                     stream.write(lead)
                 frame = packer.compress(_record(*row))
                 stream.write(frame)
@@ -206,7 +206,7 @@ def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 rows, held = [], 0
                 system, place = _open(path)
-                with system.open_input_stream(place) as stream:
+                with system.open_input_stream(place, compression=None) as stream:
                     for record in _frames(stream):
                         rows.append(_read_record(*parse_record(record), with_payload))
                         held += len(record) if with_payload else 200
