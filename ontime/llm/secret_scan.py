@@ -88,7 +88,8 @@ def scan_versions(
 
     ``versions`` holds path and blob of the same rows, written beforehand. A blob is the text's SHA-256. One path per blob carries it; blobs whose (rule, version) pairs are all in the ledger are
     not read into the search again, and of the others only the unseen pairs are searched. The ledger has one row per
-    searched pair, with or without findings, and is appended to by one atomic write. Returns the ledger and the pairs that
+    searched pair, with or without findings (rows that repeat a path and its text add equal ones), and is appended to by
+    one atomic write. Returns the ledger and the pairs that
     this call searched.
     """
     wanted = spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")

@@ -243,7 +243,7 @@ def _walk(lattices: Lattices, units: np.ndarray, starts: np.ndarray, keys: np.nd
         return empty, empty, empty
     who = np.concatenate([s[0] for s in steps])
     counts = np.bincount(who, minlength=len(units))
-    base = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    base = np.cumsum(counts) - counts
     slot = base[who] + np.repeat(np.arange(len(steps)), [len(s[0]) for s in steps])
     place, length = np.empty(len(who), np.int64), np.empty(len(who), np.int64)
     place[slot] = np.concatenate([s[1] for s in steps])
@@ -358,7 +358,7 @@ def _leave(lattices: Lattices, paths: list[Path], live, when, which, where, keys
     whole = np.diff(lattices.unit_of_doc)[live]
     again = whole - turn_unit
     owner = np.repeat(np.arange(m), again)
-    local = np.arange(again.sum()) - np.repeat(np.concatenate(([0], np.cumsum(again)[:-1])), again) + turn_unit[owner]
+    local = _ramp(again) + turn_unit[owner]
     starts = lattices.begins[lattices.unit_of_doc[live][owner] + local]
     lead = local == turn_unit[owner]
     starts[lead] = resume
@@ -389,7 +389,7 @@ def _leave(lattices: Lattices, paths: list[Path], live, when, which, where, keys
 
 
 def _ramp(counts: np.ndarray) -> np.ndarray:
-    return np.arange(counts.sum()) - np.repeat(np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def piece_ids(lattices: Lattices, path: Path, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
