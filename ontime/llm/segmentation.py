@@ -17,6 +17,7 @@ from ontime.llm.textarrays import BASE, INVERSE, U64, mix, powers, utf8
 SAMPLES = 2
 SLICE_BYTES = 3_000_000
 PREFIX = -3
+GRID = 2.0**24
 BYTE_LOG_PROB = -14.0
 _MARK = 0x2581  # the piece alphabet's sign for a space
 _LITERAL = 0x110000  # stands for that sign where the text itself has it
@@ -186,9 +187,10 @@ def build_lattices(texts: Sequence[str], words: Vocabulary) -> Lattices:
         ways = log[place, :k] + beta[place[:, None] + np.arange(1, k + 1)]
         most = ways.max(axis=1, keepdims=True)
         shares = np.exp((ways - most).astype(np.float32))
-        whole = shares.sum(axis=1, keepdims=True)
-        beta[place] = (most + np.log(whole))[:, 0]
-        running = np.cumsum(shares / whole, axis=1)
+        running = np.cumsum(shares, axis=1)  # one after the other: the same whatever the width
+        whole = running[:, -1:].copy()
+        beta[place] = most[:, 0] + np.log(whole[:, 0].astype(np.float64))
+        running /= whole
         last = k - 1 - np.argmax(shares[:, ::-1] > 0, axis=1)
         running[np.arange(k) >= last[:, None]] = 1.0  # whatever the rounding, no length without a piece is drawn
         upto[place, :k] = running
@@ -256,6 +258,7 @@ def _finish(lattices: Lattices, rows, first, unit, place, length, open_from, bor
     counts = np.diff(first)
     doc = np.repeat(np.arange(len(rows)), counts)
     log_q = lattices.log[place, length - 1] + lattices.beta[place + length] - lattices.beta[place]
+    log_q = np.round(log_q * GRID) / GRID  # sums are exact then, and do not depend on the texts of the batch
     running = np.concatenate(([0.0], np.cumsum(log_q)))
     before = running[:-1] - running[first[:-1]][doc]
     index = np.arange(len(doc)) - first[:-1][doc]
@@ -266,7 +269,7 @@ def _finish(lattices: Lattices, rows, first, unit, place, length, open_from, bor
     wait = -np.log(_uniform(keys[doc[likely]], salt + 1, index[likely]))
     arrival[likely] = born[doc[likely]] + wait / mass[likely]
     taken = (1 << (length - 1)).astype(np.int64)
-    total = np.add.reduceat(np.append(log_q, 0.0), np.minimum(first[:-1], len(log_q))) * (counts > 0)
+    total = np.add.reduceat(np.append(log_q, 0.0), np.minimum(first[:-1], len(log_q))) * (counts > 0) + 0.0
     return Path(first, unit, place, length, arrival, mass, taken, total, born, rows)
 
 
