@@ -327,7 +327,7 @@ _TRAIN_PROFILE_CTE = f"train_profile_v as ({_profile_sql('train_v', PROFILED)})"
 _SERVE_PROFILE_CTE = f"serve_profile_v as ({_profile_sql('serve_v', PROFILED)})"
 _RULES_CTE = """rules_v as (
  select column_name, kind, n_missing = 0 as required, case when n_missing = 0 then 1.0 else 0.0 end::double
-  as min_presence, coalesce(kind = 'string' and n_distinct <= 100, false) as has_domain from train_profile_v)"""
+  as min_presence, kind = 'string' as has_domain from train_profile_v)"""
 _RULE_CTES = (_TRAIN_CTE, _TRAIN_PROFILE_CTE, _RULES_CTE)
 
 

@@ -257,6 +257,11 @@ def best_run(runs: DataFrame, metric: str = "rmse", smallest: bool = True) -> Da
     return runs.where(null_nan(F.col(metric)).isNotNull()).orderBy(order, "run_id").limit(1)
 
 
+def _named(model: PipelineModel, output: str) -> PipelineModel:
+    """The same model with another prediction column; the given one keeps its own."""
+    return PipelineModel([*model.stages[:-1], model.stages[-1].copy().setPredictionCol(output)])
+
+
 def select_and_save(
     spark: SparkSession,
     runs: Sequence[Mapping[str, Any]],
@@ -272,17 +277,14 @@ def select_and_save(
     ids = [r["run_id"] for r in logged.select("run_id").collect()]  # one per candidate
     name = f"{airport}_model_{target}_{winner['run_id']}"
     model = models[ids.index(winner["run_id"])]
-    model.stages[-1].setPredictionCol("prediction")
     saved = f"{path.rstrip('/')}/{name}"
-    model.write().overwrite().save(saved)
+    _named(model, "prediction").write().overwrite().save(saved)
     return name, saved
 
 
 def score(model_path: str, df: DataFrame, output: str = "prediction") -> DataFrame:
     """Predictions of a saved model, next to the rows' own columns."""
-    model = PipelineModel.load(model_path)
-    model.stages[-1].setPredictionCol(output)
-    return predict(model, df)
+    return predict(_named(PipelineModel.load(model_path), output), df)
 
 
 def compare_models(
@@ -291,8 +293,7 @@ def compare_models(
     """Actual value, production prediction and staged prediction side by side."""
     out = df
     for model, name in ((production, "prod_prediction"), (staging, "stage_prediction")):
-        model.stages[-1].setPredictionCol(name)
-        out = predict(model, out)
+        out = predict(_named(model, name), out)
     return out.select(*keys, F.col(label).alias("actual"), "prod_prediction", "stage_prediction")
 
 

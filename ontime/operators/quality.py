@@ -19,7 +19,6 @@ from ontime.functions.columns import null_nan
 # Bins per round of the exact median; relative rank error of the sketched one is 1 / SKETCH_ACCURACY.
 MEDIAN_BINS = 1024
 SKETCH_ACCURACY = 10_000
-DOMAIN_LIMIT = 100
 CALENDAR_COLUMNS = ("year", "quarter", "month", "day_of_month", "day_of_week", "fl_date")
 LABEL_COLUMNS = ("arr_delay", "dep_delay")
 
@@ -234,15 +233,19 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
     return counts.orderBy(F.col("n_rows").desc(), column).limit(k)
 
 
-def infer_expectations(profile: DataFrame, domain_limit: int = DOMAIN_LIMIT) -> DataFrame:
-    """Rules a table like the profiled one has to meet: kind, whether values are required, closed value domain."""
+def infer_expectations(profile: DataFrame, open_columns: Sequence[str] = ()) -> DataFrame:
+    """Rules a table like the profiled one has to meet: kind, whether values are required, closed value domain.
+
+    Every string column has a domain, however many values it has, except the free text named in ``open_columns``.
+    """
+    free = F.lower("column_name").isin(*[c.lower() for c in open_columns])
     complete = F.col("n_missing") == 0
     return profile.select(
         "column_name",
         "kind",
         complete.alias("required"),
         F.when(complete, 1.0).otherwise(0.0).alias("min_presence"),
-        ((F.col("kind") == "string") & (F.col("n_distinct") <= domain_limit)).alias("has_domain"),
+        ((F.col("kind") == "string") & ~free).alias("has_domain"),
     )
 
 
@@ -260,7 +263,7 @@ def _string_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def infer_domains(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """The values of every column whose rule closes its domain; the rules bound their number."""
+    """The values of every column whose rule closes its domain."""
     closed = rules.where("has_domain").select("column_name")
     return _string_values(df).join(closed, "column_name", "left_semi").select("column_name", "value")
 
@@ -274,7 +277,7 @@ def unseen_values(df: DataFrame, domains: DataFrame) -> DataFrame:
 
 def environment_rules(rules: DataFrame, exclude: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
     """Rules for an environment in which some columns, such as labels when serving, need not be there."""
-    absent = F.col("column_name").isin(*exclude)
+    absent = F.lower("column_name").isin(*[c.lower() for c in exclude])
     return rules.select(
         "column_name",
         "kind",
@@ -398,7 +401,7 @@ def retrain_signal(
     metric: str = "ks",
 ) -> DataFrame:
     """One row: whether any column that may not drift does, how many do, and the one that drifts most."""
-    watched = drift.where(~F.col("column_name").isin(*exclude))
+    watched = drift.where(~F.lower("column_name").isin(*[c.lower() for c in exclude]))
     over = F.col(metric) > threshold
     return watched.agg(
         F.coalesce(F.bool_or(over), F.lit(False)).alias("retrain"),

@@ -48,18 +48,6 @@ def _writer(df: DataFrame, partition_by: Sequence[str], mode: str) -> DataFrameW
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def _reads_from(df: DataFrame, path: str) -> bool:
-    folder = path.split(":", 1)[-1].rstrip("/") + "/"
-    return any(folder in name.split(":", 1)[-1] for name in df.inputFiles())
-
-
-def _safe_source(df: DataFrame, path: str | None, stage_first: bool | None) -> DataFrame:
-    # An overwrite empties its target before the scan, and Spark does not object to a plan that reads the target.
-    if path is None:
-        return df
-    return stage_table(df) if (_reads_from(df, path) if stage_first is None else stage_first) else df
-
-
 def stage_table(df: DataFrame, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write between two stages and go on from the written table: its size is then known to the optimizer."""
     target = path or stage_path(df.sparkSession, "stage")
@@ -67,17 +55,40 @@ def stage_table(df: DataFrame, path: str | None = None, partition_by: Sequence[s
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
-def replace_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), stage_first: bool | None = None
-) -> DataFrame:
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a folder, such as a stage table that is no longer needed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put folder ``new`` in the place of ``path``: two renames, and the old contents go last."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    target, fresh, old = make(path), make(new), make(f"{path.rstrip('/')}.old-{uuid4().hex}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = system.exists(target)
+    if had and not system.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not system.rename(fresh, target):
+        if had:
+            system.rename(old, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        system.delete(old, True)
+
+
+def replace_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace the contents of ``path`` and return it as read back.
 
-    A plan that reads ``path`` itself is written to a stage table first. ``None`` finds that out from the names of all
-    input files; with millions of them, say it with ``True`` or ``False``.
+    The rows are written beside ``path`` and swapped in when they are complete, so ``df`` may read from ``path``, and a
+    write that fails leaves the old contents as they were.
     """
-    source = _safe_source(df, path, stage_first)
-    _writer(source, partition_by, "overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, schema = df.sparkSession, df.schema
+    beside = f"{path.rstrip('/')}.new-{uuid4().hex}"
+    _writer(df, partition_by, "errorifexists").parquet(beside)
+    _swap_in(spark, beside, path)
+    spark.catalog.refreshByPath(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def publish_predictions(df: DataFrame, path: str, partition_by: Sequence[str] = ("airport",)) -> DataFrame:
@@ -92,15 +103,19 @@ def publish_predictions(df: DataFrame, path: str, partition_by: Sequence[str] =
 
 def publish_table(
     df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet", partition_by: Sequence[str] = (),
-    stage_first: bool | None = None,
+    stage_first: bool = True,
 ) -> DataFrame:
     """Replace a catalog table, external when ``path`` is given; other formats need their data source jar.
 
-    ``stage_first`` as in ``replace_parquet``.
+    An overwrite empties ``path`` before the scan: rows for a table with a path go through a stage table unless
+    ``stage_first`` is false, which is safe only if ``df`` does not read from ``path``.
     """
-    source = _safe_source(df, path, stage_first)
+    staged = stage_path(df.sparkSession, "stage") if path and stage_first else None
+    source = stage_table(df, staged) if staged else df
     writer = _writer(source, partition_by, "overwrite").format(fmt)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
+    if staged:
+        drop_stage(df.sparkSession, staged)
     return df.sparkSession.table(name)

@@ -178,8 +178,8 @@ def test_replace_reads_and_writes_the_same_path(spark):
     again = sinks.replace_parquet(first.where("id >= 4"), path)
     assert again.count() == 6
     assert sinks.publish_table(again.where("id >= 8"), "ontime_self", path).count() == 2
-    stored = sinks.replace_parquet(spark.range(4), path, stage_first=False)
-    assert sinks.replace_parquet(stored.where("id > 0"), path, stage_first=True).count() == 3
+    stored = sinks.replace_parquet(spark.range(4), path)
+    assert sinks.replace_parquet(stored.where("id > 0"), path).count() == 3
 
 
 def test_predictions_may_read_their_own_path(spark):
@@ -217,3 +217,13 @@ def test_pages_follow_the_order(spark):
     frame = spark.range(100).withColumn("x", -F.col("id"))
     assert [r["id"] for r in agg.page_rows(frame, 50, 53, ["id"]).collect()] == [50, 51, 52]
     assert [r["id"] for r in agg.top_k(frame, "x", 2).collect()] == [0, 1]
+
+
+@pytest.mark.parametrize("name", ["my dir", "50%25 off", "up/../beside"])
+def test_replace_parquet_may_read_its_own_path(spark, tmp_path, name):
+    (tmp_path / "up").mkdir()
+    path = str(tmp_path / name)
+    first = sinks.replace_parquet(spark.range(10), path)
+    assert sinks.replace_parquet(first.where("id >= 4"), path).count() == 6
+    assert sinks.publish_table(spark.read.parquet(path).where("id >= 8"), "ontime_odd_path", path).count() == 2
+    spark.sql("drop table ontime_odd_path")

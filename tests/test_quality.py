@@ -128,3 +128,16 @@ def test_median_modes(table):
     assert by_name(q.column_profile(table, ["x"], median=None))["x"]["median"] is None
     with pytest.raises(ValueError):
         q.column_profile(table, ["x"], median="mean")
+
+
+def test_domains_have_no_limit_and_names_are_case_blind(spark):
+    train = spark.range(150).selectExpr("concat('v', id) as TAIL_NUM", "cast(id as double) as ARR_DELAY")
+    profile = q.column_profile(train, median=None)
+    rules = q.infer_expectations(profile)
+    domains = q.infer_domains(train, rules)
+    serve = spark.createDataFrame([("v7",), ("new",)], "TAIL_NUM string")
+    unseen = q.unseen_values(serve, domains)
+    assert domains.count() == 150 and [r["value"] for r in unseen.collect()] == ["new"]
+    assert q.infer_expectations(profile, open_columns=["tail_num"]).where("has_domain").count() == 0
+    found = q.validate_profile(q.column_profile(serve, median=None), q.environment_rules(rules), unseen)
+    assert [r["anomaly"] for r in found.collect()] == ["unseen_category"]
