@@ -102,8 +102,11 @@ def _one_line(url: str | None) -> str:
     return "".join(c if c.isprintable() else "%" + c.encode().hex().upper() for c in url or "")
 
 
-def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+def _open(place: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a place; local ones may have any characters in them."""
+    if place.startswith("file:"):
+        place = "/" + place.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(place) if "://" in place else (fs.LocalFileSystem(), place)
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -133,8 +136,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if stream is None:
-                    path, count, size = f"{root}/part-{uuid4().hex}.warc.zst", 0, len(lead)
-                    stream = system.open_output_stream(path, compression=None)
+                    name, count, size = f"part-{uuid4().hex}.warc.zst", 0, len(lead)
+                    path = f"{folder}/{name}"
+                    stream = system.open_output_stream(f"{root}/{name}", compression=None)
                     stream.write(lead)
                 frame = packer.compress(_record(*row))
                 stream.write(frame)
