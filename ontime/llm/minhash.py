@@ -18,7 +18,7 @@ WORDS = 5
 SIMILARITY = 80
 BANDS = 32
 ROWS = 4
-BLOCK = 256
+BLOCK = 1024
 FINE = 1024
 _HASHES = BANDS * ROWS
 
