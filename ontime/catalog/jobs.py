@@ -153,6 +153,137 @@ def _(spark, sf_dir):
     return models.staged_error(model, test, ARRIVAL_FEATURES, "arr_delay")
 
 
+# One tree over a column of few values, grown on all rows, predicts the mean of each value; without any split, the mean
+# of all. These fits can be said in SQL.
+
+_KNOWN_CTE = "known_v as (select flight_id, distance_group, arr_delay from flights_v where arr_delay is not null)"
+_SCORED_CTE = (
+    "scored_v as (select *, avg(arr_delay) over () as p0, avg(arr_delay) over (partition by distance_group) as p10 "
+    "from known_v)"
+)
+_MEANS = with_flights("select distinct distance_group, round(p10, 6) as prediction from scored_v", _KNOWN_CTE, _SCORED_CTE)
+_ONE_TREE = [{"num_trees": 1, "max_depth": depth} for depth in (0, 10)]
+_ERRORS = ["mse", "rmse", "mae"]
+_RUNS = with_flights(
+    " union all ".join(
+        f"select {d} as max_depth, round(avg(power(arr_delay - p{d}, 2)), 6) as mse, "
+        f"round(sqrt(avg(power(arr_delay - p{d}, 2))), 6) as rmse, round(avg(abs(arr_delay - p{d})), 6) as mae from scored_v"
+        for d in (0, 10)
+    ),
+    _KNOWN_CTE, _SCORED_CTE,
+)
+
+
+def _known(spark, sf_dir):
+    rows = flights_v(spark, sf_dir).select("flight_id", "distance_group", "arr_delay")
+    return sinks.stage_table(rows.where(F.col("arr_delay").isNotNull()))
+
+
+def _means(scored):
+    return rounded(scored.select("distance_group", "prediction"), ["prediction"]).distinct()
+
+
+def _one_tree_search(spark, sf_dir):
+    rows = _known(spark, sf_dir)
+    return rows, *models.grid_search(rows, rows, ["distance_group"], "arr_delay", _ONE_TREE, "boosted_trees")
+
+
+@query("fit_random_forest_means", _MEANS)
+def _(spark, sf_dir):
+    rows = _known(spark, sf_dir)
+    return _means(models.predict(models.fit_random_forest(rows, ["distance_group"], "arr_delay", 1, 10, bootstrap=False), rows))
+
+
+@query("fit_boosted_trees_means", _MEANS)
+def _(spark, sf_dir):
+    rows = _known(spark, sf_dir)
+    return _means(models.predict(models.fit_boosted_trees(rows, ["distance_group"], "arr_delay", 1, 10), rows))
+
+
+@query("fit_boosted_trees_sub_means", _MEANS)
+def _(spark, sf_dir):
+    rows = _known(spark, sf_dir)
+    return _means(models.predict(models.fit_boosted_trees_sub(rows, ["distance_group"], "arr_delay", 1, 10, subsample=1.0), rows))
+
+
+@query("score_means", _MEANS)
+def _(spark, sf_dir):
+    rows = _known(spark, sf_dir)
+    path = sinks.stage_path(spark, "model")
+    models.fit_boosted_trees(rows, ["distance_group"], "arr_delay", 1, 10).write().overwrite().save(path)
+    return _means(models.score(path, rows))
+
+
+@query("select_and_save_means", _MEANS)
+def _(spark, sf_dir):
+    rows, fitted, runs = _one_tree_search(spark, sf_dir)
+    _name, path = models.select_and_save(spark, runs, fitted, sinks.stage_path(spark, "models"), AIRPORT, "arr")
+    return _means(models.score(path, rows))
+
+
+@query("grid_search_means", _RUNS)
+def _(spark, sf_dir):
+    _rows, _fitted, runs = _one_tree_search(spark, sf_dir)
+    return rounded(models.runs_table(spark, runs), _ERRORS).select("max_depth", *_ERRORS)
+
+
+@query("log_runs_means", _RUNS)
+def _(spark, sf_dir):
+    _rows, _fitted, runs = _one_tree_search(spark, sf_dir)
+    path = sinks.stage_path(spark, "runs")
+    models.log_runs(spark, runs[:1], path)
+    return rounded(models.log_runs(spark, runs[1:], path), _ERRORS).select("max_depth", *_ERRORS)
+
+
+@query(
+    "compare_models_means",
+    with_flights(
+        "select flight_id, arr_delay as actual, round(p0, 6) as prod_prediction, round(p10, 6) as stage_prediction "
+        "from scored_v", _KNOWN_CTE, _SCORED_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    rows, fitted, _runs = _one_tree_search(spark, sf_dir)
+    compared = models.compare_models(*fitted, rows, "arr_delay", ["flight_id"])
+    return rounded(compared, ["prod_prediction", "stage_prediction"])
+
+
+@query(
+    "staged_error_means",
+    with_flights("select 1 as iteration, round(avg(power(arr_delay - p10, 2)), 6) as mse from scored_v",
+                 _KNOWN_CTE, _SCORED_CTE),
+)
+def _(spark, sf_dir):
+    rows = _known(spark, sf_dir)
+    model = models.fit_boosted_trees(rows, ["distance_group"], "arr_delay", 1, 10)
+    return rounded(models.staged_error(model, rows, ["distance_group"], "arr_delay"), ["mse"])
+
+
+@query(
+    "cross_validate_means",
+    with_flights(
+        " union all ".join(
+            f"select {d} as max_depth, round(avg(rmse), 6) as rmse from (select fold, sqrt(avg(power(arr_delay - "
+            f"(t{d} - s{d}) / (m{d} - n{d}), 2))) as rmse from sums_v group by fold) f"
+            for d in (0, 10)
+        ),
+        _KNOWN_CTE,
+        "folded_v as (select *, cast('0x' || substr(md5('42|' || cast(flight_id as varchar)), 1, 8) as bigint) % 5 as fold "
+        "from known_v)",
+        "sums_v as (select *, sum(arr_delay) over () as t0, count(*) over () as m0, "
+        "sum(arr_delay) over (partition by fold) as s0, count(*) over (partition by fold) as n0, "
+        "sum(arr_delay) over (partition by distance_group) as t10, count(*) over (partition by distance_group) as m10, "
+        "sum(arr_delay) over (partition by fold, distance_group) as s10, "
+        "count(*) over (partition by fold, distance_group) as n10 from folded_v)",
+    ),
+)
+def _(spark, sf_dir):
+    """The error on each fold of the means over the other folds."""
+    fitted = models.cross_validate(_known(spark, sf_dir), ["distance_group"], "arr_delay", _ONE_TREE, "flight_id")
+    rows = [(p["max_depth"], float(m)) for p, m in zip(_ONE_TREE, fitted.avgMetrics, strict=True)]
+    return rounded(spark.createDataFrame(rows, "max_depth int, rmse double"), ["rmse"])
+
+
 # Whole runs ----------------------------------------------------------------------------------------------------------
 
 
@@ -175,7 +306,31 @@ def _(spark, sf_dir):
     return arrivals.unionByName(departures)
 
 
+def _long(df, part, *keys):
+    """One row per cell: the part, the column it speaks of, the measure and its value as text."""
+    numbers = {name for name, kind in df.dtypes if kind == "double"}
+    measures = [name for name in df.columns if name not in keys]
+    cells = [(F.round(name, 6) if name in numbers else F.col(name)).cast("string").alias(name) for name in measures]
+    who = F.concat_ws(" ", *keys) if keys else F.lit("")
+    long = df.select(who.alias("_about"), *cells).unpivot(["_about"], measures, "measure", "value")
+    return long.select(F.lit(part).alias("part"), F.col("_about").alias("about"), "measure", "value")
+
+
+def _all_results(checked):
+    parts = [
+        _long(checked.anomalies, "anomaly", "column_name", "anomaly"), _long(checked.comparison, "comparison", "column_name"),
+        _long(checked.drift, "drift", "column_name"), _long(checked.signal, "signal"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query("monitoring_job")
 def _(spark, sf_dir):
     rows = flights_v(spark, sf_dir).drop("pred_delay", "flight_id")
-    return jobs.monitoring_job(rows, PARAMS).drift
+    return _all_results(jobs.monitoring_job(rows, PARAMS))
+
+
+@query("monitoring_job_weather")
+def _(spark, sf_dir):
+    rows = inputs.hourly(spark, sf_dir).withColumn("day", F.to_date("time"))
+    return _all_results(jobs.monitoring_job(rows, PARAMS, "day"))

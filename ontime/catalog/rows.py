@@ -343,14 +343,19 @@ def _(spark, sf_dir):
     return projections.fill_nulls(rows, {"arr_del15": 0, "carrier_delay": 0, "nas_delay": 0})
 
 
-@query("split_features_labels")
+@query(
+    "split_features_labels",
+    with_flights("select round(cast(distance as double), 6) as distance, taxi_out, arr_delay, dep_delay from flights_v"),
+)
 def _(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     rows = projections.split_features_labels(
         flights_v(spark, sf_dir), ["distance", "taxi_out", "arr_delay"], ["arr_delay", "dep_delay"]
     )
-    return rows.select(vector_to_array("features").alias("features"), "arr_delay", "dep_delay")
+    cells = vector_to_array("features")
+    named = rows.select(cells[0].alias("distance"), cells[1].alias("taxi_out"), "arr_delay", "dep_delay")
+    return rounded(named, ["distance"])
 
 
 def _scaled_sql(lo_hi_from: str, source: str) -> str:

@@ -91,8 +91,8 @@ def pagerank(
         sent = ranks.select(
             F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "pagerank"
         )
-        # hash the ranks, not the edges: there are fewer, and the edges then need neither a sort nor a second shuffle
-        received = weights.join(sent.hint("shuffle_hash"), ["src", "part"]).select(
+        # no hint: a sort-merge join can spill, however many ranks a partition holds
+        received = weights.join(sent, ["src", "part"]).select(
             F.col("dst").alias("id"), F.lit(0).alias("parts"), (F.col("pagerank") * F.col("weight")).alias("received")
         )
         ranks = (

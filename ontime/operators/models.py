@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ontime.functions.columns import ColumnLike, as_column, null_nan, run_id
 from ontime.operators.aggregates import regression_metrics
-from ontime.sources.scans import hash_below
+from ontime.sources.scans import HASH_DIGITS, hash_below
 
 MAX_TREE_DEPTH = 30
 RUN_COLUMNS = ("model", "dataset", "target", "num_trees", "max_depth", "feature_subset", "step_size", "subsample")
@@ -39,8 +39,10 @@ def split_train_test(
 
 
 def hash_folds(df: DataFrame, key: ColumnLike, folds: int, seed: int = 42, output: str = "fold") -> DataFrame:
-    """Fold number of each row from a hash of its key."""
-    return df.withColumn(output, F.pmod(F.xxhash64(F.lit(seed), as_column(key)), F.lit(folds)).cast("int"))
+    """Fold number of each row from the MD5 of its key, as for the split; a missing key counts as empty."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(as_column(key).cast("string"), F.lit("")))
+    number = F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10).cast("long")
+    return df.withColumn(output, F.pmod(number, F.lit(folds)).cast("int"))
 
 
 def _subset(name: str) -> str:
@@ -88,11 +90,11 @@ def _labelled(df: DataFrame, features: Sequence[str], label: str, *others: str)
 
 def random_forest(
     label: str, num_trees: int = 100, max_depth: int = 7, feature_subset: str = "auto", seed: int = 1,
-    prediction: str = "prediction",
+    prediction: str = "prediction", bootstrap: bool = True,
 ) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="features", labelCol=label, predictionCol=prediction, numTrees=num_trees,
-        maxDepth=_depth(max_depth), featureSubsetStrategy=_subset(feature_subset), seed=seed,
+        maxDepth=_depth(max_depth), featureSubsetStrategy=_subset(feature_subset), seed=seed, bootstrap=bootstrap,
     )
 
 
@@ -110,9 +112,10 @@ def boosted_trees(
 def fit_random_forest(
     df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100, max_depth: int = 7,
     feature_subset: str = "auto", seed: int = 1, scale: bool = True, prediction: str = "prediction",
+    bootstrap: bool = True,
 ) -> PipelineModel:
-    """Random forest regression; for two targets fit one model each."""
-    estimator = random_forest(label, num_trees, max_depth, feature_subset, seed, prediction)
+    """Random forest regression; for two targets fit one model each. ``bootstrap=False``: every tree sees all rows."""
+    estimator = random_forest(label, num_trees, max_depth, feature_subset, seed, prediction, bootstrap)
     return _fit(estimator, df, features, label, scale)
 
 

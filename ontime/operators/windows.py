@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,16 +29,22 @@ def previous_leg_flag(
     """
     if null_keys not in ("group", "null"):
         raise ValueError(f"null_keys {null_keys!r} is neither 'group' nor 'null'")
-    if null_keys == "null":
-        known = previous_leg_flag(df.where(F.col(key).isNotNull()), key, order, tie, flag, output, "group", slice_by)
-        nothing = F.lit(None).cast(df.schema[flag].dataType)
-        return known.unionByName(df.where(F.col(key).isNull()).withColumn(output, nothing))
     total_order = [order, *tie]
+    unknown, keys, rows = F.col(key).isNull(), [key], df
+    if null_keys == "null":  # their result is blanked below, so they are spread over many small groups
+        keys, rows = [key, "_lone"], df.withColumn("_lone", F.when(unknown, F.xxhash64(*tie)))
+
+    def blanked(value: Column) -> Column:
+        return F.when(~unknown, value) if null_keys == "null" else value
+
     if slice_by is None:
-        return df.withColumn(output, F.lag(flag).over(Window.partitionBy(key).orderBy(*total_order)))
+        plain = F.lag(flag).over(Window.partitionBy(*keys).orderBy(*total_order))
+        return rows.withColumn(output, blanked(plain)).select(*[c for c in df.columns if c != output], output)
 
-    sliced = df.withColumn("_slice", F.date_trunc(slice_by, order))
-    closing = sliced.groupBy(key, "_slice").agg(F.max_by(flag, F.struct(*total_order)).alias("_closing"))
+    # rows without a key are the largest group by far: their slices are minutes
+    sliced = rows.withColumn("_slice", F.when(unknown, F.date_trunc("minute", order)).otherwise(F.date_trunc(slice_by, order)))
+    closed = sliced.where(~unknown) if null_keys == "null" else sliced
+    closing = closed.groupBy(key, "_slice").agg(F.max_by(flag, F.struct(*total_order)).alias("_closing"))
     opening = closing.select(
         key,
         "_slice",
@@ -46,9 +52,9 @@ def previous_leg_flag(
         F.lit(0).alias("_rank"),
     )
     rows = sliced.withColumn("_rank", F.lit(1)).unionByName(opening, allowMissingColumns=True)
-    within = Window.partitionBy(key, "_slice").orderBy("_rank", *total_order)
+    within = Window.partitionBy(*keys, "_slice").orderBy("_rank", *total_order)
     return (
-        rows.withColumn(output, F.lag(flag).over(within))
+        rows.withColumn(output, blanked(F.lag(flag).over(within)))
         .where(F.col("_rank") == 1)
         .select(*[c for c in df.columns if c != output], output)
     )
