@@ -64,26 +64,37 @@ def minima(shingles: np.ndarray, n: int = _HASHES) -> np.ndarray:
     return low
 
 
+def _band_keys(low: np.ndarray) -> np.ndarray:
+    """One 64-bit key per band of ``ROWS`` minima; the band's number goes in, so that bands do not meet."""
+    keys = np.arange(1, BANDS + 1, dtype=U64)
+    for column in low.reshape(BANDS, ROWS).T:
+        keys = mix(keys + column)
+    return keys.view(np.int64)
+
+
 def _sketches(documents: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, minima, bits): set_key is a 128-bit digest of the whole set, null without words."""
+    """(doc_id, n_shingles, set_key, bands, bits): set_key is a 128-bit digest of the whole set, null without words.
+
+    bands holds the bands' keys, bits the lowest byte of every minimum; the minima themselves are not needed later.
+    """
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2_000_000):
-            sizes, keys, lows, bits = [], [], [], []
+            sizes, keys, bands, bits = [], [], [], []
             for found in shingle_sets(batch.column(1), words):
                 sizes.append(len(found))
                 low = minima(found) if len(found) else None
                 keys.append(blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                lows.append(low.tobytes() if len(found) else None)
+                bands.append(_band_keys(low) if len(found) else None)
                 bits.append((low & np.uint32(255)).astype(np.uint8).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lows, pa.binary()), pa.array(bits, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "minima", "bits"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["doc_id", "n_shingles", "set_key", "bands", "bits"],
             )
 
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, set_key binary, minima binary, bits binary")
+    return texts.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, set_key binary, bands array<long>, bits binary")
 
 
 def _least_agreement(similarity: int, n: int) -> float:
@@ -168,7 +179,7 @@ def _open_links(
 
     texts = documents.join(stage(left.select("doc_id").distinct(), "wanted"), "doc_id", "left_semi")
     signed = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(fine, f"doc_id {kind}, fine binary, shingles binary")
-    known = stage(sketches.select("doc_id", "n_shingles", "minima").join(signed, "doc_id"), "signed")
+    known = stage(sketches.select("doc_id", "n_shingles", "bands").join(signed, "doc_id"), "signed")
 
     mine = F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
@@ -190,7 +201,7 @@ def _open_links(
         if held:
             yield from _pairs_within(pa.Table.from_batches(held), least, similarity)
 
-    ordered = rows.select("piece", "band", "doc_id", "own", "n_shingles", "minima", "fine", "shingles")
+    ordered = rows.select("piece", "band", "doc_id", "own", "n_shingles", "bands", "fine", "shingles")
     return ordered.repartition("piece").sortWithinPartitions("piece").mapInArrow(search, f"a {kind}, b {kind}").distinct()
 
 
@@ -198,7 +209,7 @@ def _pairs_within(table: pa.Table, least: float, similarity: int) -> Iterator[pa
     if not table.num_rows:
         return
     pieces, bands, ids, own, sizes = (table.column(i).to_numpy() for i in range(5))
-    lows = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
+    keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     bits = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
     sets = table.column("shingles").combine_chunks()
     cuts = np.flatnonzero(np.diff(pieces)) + 1
@@ -216,7 +227,7 @@ def _pairs_within(table: pa.Table, least: float, similarity: int) -> Iterator[pa
             fit = np.flatnonzero((own[rest] != own[i]) & _near(sizes[rest], sizes[i], similarity)) + i + 1
             if not len(fit):
                 continue
-            fit = fit[np.argmax((lows[fit] == lows[i]).all(axis=2), axis=1) == bands[i]]
+            fit = fit[np.argmax(keys[fit] == keys[i], axis=1) == bands[i]]
             for j in fit[(bits[fit] == bits[i]).sum(axis=1) >= least]:
                 x, y = root(own[i]), root(own[j])
                 if x != y and _similar(sets[i], sets[j], similarity):
@@ -245,20 +256,19 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, similarity: int =
     and pairs within a component need no comparison.
 
     Texts without words, and null texts, are linked with nothing; a null doc_id neither (its component is null, kept
-    true). Rows that repeat a doc_id with the same text are equal; doc_ids are meant to be unique. Empty table: empty
-    result; other columns are ignored.
+    true). Rows that repeat a doc_id with the same text are equal; doc_ids are meant to be unique, and rows that repeat one
+    with other texts are linked by any of these. Empty table: empty result; other columns are ignored.
     """
     prepare_workers(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = stage(_sketches(documents, words), "sketches")
     usable = sketches.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = stage(usable.groupBy("set_key").agg(F.min("doc_id").alias("first")), "classes")
-    chosen = classes.select(F.col("first").alias("doc_id"), "set_key")
-    single = stage(usable.join(chosen, ["doc_id", "set_key"]).dropDuplicates(["doc_id"]).drop("set_key"), "single")
+    # Equal sets have equal sketches, so any row brings the sketch of its class.
+    same = [F.first(c).alias(c) for c in ("n_shingles", "bands", "bits")]
+    single = stage(usable.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), *same), "single")
+    classes = single.select("set_key", F.col("doc_id").alias("first"))
 
-    step = 4 * ROWS
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("minima", i * step + 1, F.lit(step))))
-    buckets = single.select("doc_id", F.posexplode(bands).alias("band", "bucket"))
+    buckets = single.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
     # The member that is smallest after its number is crossed with the bucket's: a different one in each bucket.
     crossed = F.col("doc_id").bitwiseXOR(F.col("bucket"))
     centers = buckets.groupBy("bucket").agg(F.min(crossed).alias("_low"), F.max(crossed).alias("_high"))

@@ -139,14 +139,21 @@ def test_near_duplicates_odd_rows(spark):
     assert minhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_duplicates_repeated_ids(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(40)) for w in "xy")
+    rows = [(5, one, "a"), (5, one, "a"), (5, two, "a"), (7, one + " more", "a"), (9, "more " + two, "a"), (11, "else", "a")]
+    got = minhash.near_duplicates(docs(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(5, 5), (5, 5), (5, 5), (7, 5), (9, 5), (11, 11)]
+
+
 def test_open_buckets_are_searched_completely(monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 4)
     n = 6
     sets = [np.sort(np.array(list(range(100)) + [1000 + i], np.uint64)) for i in range(n)]
-    lows = [minhash.minima(s) for s in sets]
+    keys = [minhash._band_keys(minhash.minima(s)) for s in sets]
     table = pa.table({
-        "piece": np.zeros(n, np.int64), "band": [int(np.argmax((lows[0].reshape(-1, 4) == lows[1].reshape(-1, 4)).all(1)))] * n,
-        "doc_id": np.arange(n), "own": np.arange(n), "n_shingles": [101] * n, "minima": [x.tobytes() for x in lows],
+        "piece": np.zeros(n, np.int64), "band": [int(np.argmax(keys[0] == keys[1]))] * n,
+        "doc_id": np.arange(n), "own": np.arange(n), "n_shingles": [101] * n, "bands": keys,
         "fine": [(minhash.minima(s, minhash.FINE) & np.uint32(255)).astype(np.uint8).tobytes() for s in sets],
         "shingles": [s.tobytes() for s in sets],
     })
