@@ -249,9 +249,16 @@ def runs_table(spark: SparkSession, runs: Sequence[Mapping[str, Any]]) -> DataFr
 
 
 def log_runs(spark: SparkSession, runs: Sequence[Mapping[str, Any]], path: str) -> DataFrame:
-    """Append run records to the log and return the whole log."""
-    runs_table(spark, runs).coalesce(1).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """Put run records into the log and return the whole log. A run with the same parameters replaces its record.
+
+    The log is partitioned by run_id and only the partitions of the given runs are overwritten, so a repeated job logs
+    nothing twice. Frames that earlier calls returned do not see the new files; read the log anew.
+    """
+    table = runs_table(spark, runs)
+    writer = table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").parquet(path)
+    # with a given schema an id of digits alone stays a string
+    return spark.read.schema(table.schema).parquet(path).select(*table.columns)
 
 
 def best_run(runs: DataFrame, metric: str = "rmse", smallest: bool = True) -> DataFrame:

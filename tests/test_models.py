@@ -82,6 +82,9 @@ def test_search_log_select_score_compare_promote(spark, parts):
     folder = sinks.stage_path(spark, "models")
     log = m.log_runs(spark, runs, f"{folder}/runs")
     assert log.count() == 2 and log.select("run_id").distinct().count() == 2
+    first = sorted(log.select("run_id", "rmse").collect())
+    log = m.log_runs(spark, runs[1:], f"{folder}/runs")
+    assert sorted(log.select("run_id", "rmse").collect()) == first
     best = m.best_run(log).first()
     assert best["max_depth"] == 5 and best["rmse"] == pytest.approx(rmse_of(fitted[1], test))
     name, path = m.select_and_save(spark, runs, fitted, folder, "SFO", "arr")
