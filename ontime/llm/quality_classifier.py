@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,9 @@ EPOCHS = 60
 CALIBRATION = 0.2
 CUT = 0.7
 
+BLOCK = 1 << 16  # words summed at once
+BIAS = 32
+
 SHAPE_BASE = 0xA24BAED4963EE407 | 1
 
 
@@ -54,7 +58,7 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         base = np.repeat(rank[starts], np.diff(np.append(starts, len(raw))))
         place = np.zeros(len(raw), dtype=np.int64)
         place[starts[0] :] = rank[starts[0] :] - base
-        np.cumsum(np.where(change, mix(kinds.astype(U64) + U64(77)) * powers(SHAPE_BASE, int(place.max()) + 1)[place], U64(0)), out=values[1:])
+        np.cumsum(np.where(change, mix(np.arange(256, dtype=U64) + U64(77))[kinds] * powers(SHAPE_BASE, int(place.max()) + 1)[place], U64(0)), out=values[1:])
     shapes = mix(values[ends] - values[starts] + U64(3))
     again = np.zeros(len(words), dtype=bool)
     again[1:] = words[1:] == words[:-1]
@@ -74,24 +78,82 @@ def index_vectors() -> np.ndarray:
     return out
 
 
-def context_vectors(samples: list[tuple[np.ndarray, ...]]) -> np.ndarray:
-    """Unit vectors of the summed index vectors of all neighbours within ``WINDOW`` words."""
-    index = index_vectors()
-    total = np.zeros_like(index)
-    for words, shapes, repeats, first in samples:
-        own = index[words] + index[shapes] + index[repeats]
-        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+@cache
+def _small_index() -> np.ndarray:
+    return index_vectors().astype(np.int8)
+
+
+def add_neighbours(total: np.ndarray, found: tuple[np.ndarray, ...]) -> None:
+    """Add to ``total``, by bucket, the index vectors of all neighbours within ``WINDOW`` words: whole numbers, so that
+    neither the cut into blocks nor the order changes a sum."""
+    words, shapes, repeats, first = found
+    index = _small_index()
+    doc = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
+    for a in range(0, len(words), BLOCK):
+        b = min(a + BLOCK, len(words))
+        lo, hi = max(a - WINDOW, 0), min(b + WINDOW, len(words))
+        own = index[words[lo:hi]]  # at most 6 in a place, so 24 in the sum of four neighbours
+        own += index[shapes[lo:hi]]
+        own += index[repeats[lo:hi]]
         around = np.zeros_like(own)
         for d in range(1, WINDOW + 1):
-            same = (doc[d:] == doc[:-d])[:, None]
-            around[d:] += own[:-d] * same
-            around[:-d] += own[d:] * same
+            around[d:] += own[:-d]
+            around[:-d] += own[d:]
+            across = np.flatnonzero(doc[lo + d : hi] != doc[lo : hi - d])  # pairs of two texts: taken back
+            around[across + d] -= own[across]
+            around[across] -= own[across + d]
+        # four places to a word of 64 bits: 1,024 rows of 0 to 56 stay within 16 bits
+        packed = (around[a - lo : b - lo] + np.int8(BIAS)).astype("<u2").view("<u8")
         for ids in (words, shapes, repeats):
-            for j in range(DIMENSION):
-                total[:, j] += np.bincount(ids, around[:, j], len(total))
-    total[-1] = 0
-    norm = np.linalg.norm(total, axis=1, keepdims=True)
-    return total / np.maximum(norm, 1e-9)
+            part = ids[a:b].astype(np.uint16)
+            order = np.argsort(part, kind="stable")
+            order = order[: np.searchsorted(part[order], (1 << BUCKET_BITS) - 1)]  # not the bucket of nothing
+            if len(order):
+                part = part[order]
+                new = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+                run = np.arange(len(part)) - np.repeat(new, np.diff(np.append(new, len(part))))
+                starts = np.flatnonzero(run % 1024 == 0)
+                sums = np.add.reduceat(packed[order], starts, axis=0).view("<u2").astype(np.int64)
+                sums -= BIAS * np.diff(np.append(starts, len(part)))[:, None]
+                total[part[new]] += np.add.reduceat(sums, np.searchsorted(starts, new), axis=0)
+
+
+def unit(total: np.ndarray) -> np.ndarray:
+    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+
+
+def context_vectors(samples: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+    """Unit vectors of the summed index vectors of all neighbours within ``WINDOW`` words."""
+    total = np.zeros((1 << BUCKET_BITS, DIMENSION), dtype=np.int64)
+    for found in samples:
+        add_neighbours(total, found)
+    return unit(total)
+
+
+def corpus_vectors(documents: DataFrame) -> np.ndarray:
+    """The same over every text of ``documents``: each task sums its own, the sums are added by bucket. What reaches the
+    driver is one row per bucket, however many documents there are."""
+    prepare_workers(documents.sparkSession)
+    names = [f"v{j}" for j in range(DIMENSION)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((1 << BUCKET_BITS, DIMENSION), dtype=np.int64)
+        for batch in slices(batches, "text", 2_000_000):
+            add_neighbours(total, terms(batch.column(0)))
+        used = np.flatnonzero(total.any(axis=1))
+        for a in range(0, len(used), 8192):
+            ids = used[a : a + 8192]
+            columns = [pa.array(ids.astype(np.int32)), *(pa.array(np.ascontiguousarray(total[ids, j])) for j in range(DIMENSION))]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", *names])
+
+    parts = documents.where(F.col("text").isNotNull()).select("text").mapInArrow(
+        sums, "bucket int, " + ", ".join(f"{n} long" for n in names)
+    )
+    found = parts.groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
+    total = np.zeros((1 << BUCKET_BITS, DIMENSION), dtype=np.int64)
+    for j, n in enumerate(names):
+        total[found["bucket"].to_numpy(), j] = found[n].to_numpy()
+    return unit(total)
 
 
 def pooled(table: np.ndarray, found: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -133,8 +195,9 @@ def _calibrated(logits: np.ndarray, marks: np.ndarray) -> float:
     return min(np.geomspace(0.25, 16, 121), key=loss)
 
 
-def fit(texts: list[str], marks: list[int], prior: float, seed: int = 11) -> Model:
-    """Vectors from all given texts; the network on most of them, its temperature on the rest.
+def fit(texts: list[str], marks: list[int], prior: float, seed: int = 11, vectors: np.ndarray | None = None) -> Model:
+    """The network on most of the given texts, its temperature on the rest. Without ``vectors`` of a larger corpus, they
+    come from these texts.
 
     ``prior`` is the share of label 1 among all usable labels; the classes are weighted to it. With one class or none the
     model answers the prior.
@@ -147,7 +210,7 @@ def fit(texts: list[str], marks: list[int], prior: float, seed: int = 11) -> Mod
         return Model(flat, np.zeros(HIDDEN, np.float32), np.zeros(HIDDEN, np.float32), float(np.log(prior / (1 - prior))), 1.0)
     rng = np.random.default_rng(seed)
     samples = [terms(pa.array(texts[a : a + 200], pa.string())) for a in range(0, len(texts), 200)]
-    vectors = context_vectors(samples)
+    vectors = context_vectors(samples) if vectors is None else vectors
     x = np.concatenate([pooled(vectors, s) for s in samples]).astype(np.float64)
     mean, scale = x.mean(0), x.std(0) + 1e-6
     x = (x - mean) / scale
@@ -179,11 +242,13 @@ def fit(texts: list[str], marks: list[int], prior: float, seed: int = 11) -> Mod
 
 
 def fit_from(documents: DataFrame, labels: DataFrame, usable: Column, per_class: int = PER_CLASS) -> Model:
-    """Fit on at most ``per_class`` usable labelled texts of each class, of at most ``MAX_CHARS`` characters."""
+    """Vectors from all documents, labelled or not; the network on at most ``per_class`` usable labelled texts of each
+    class, of at most ``MAX_CHARS`` characters. With fewer than two classes no vectors are needed."""
     rows = training_sample(documents, labels, "quality", usable, per_class, MAX_CHARS).collect()  # bounded by these
     rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"]))
     share = labels.where(usable & F.col("quality").isNotNull()).agg(F.avg("quality")).first()[0]
-    return fit([r["text"] for r in rows], [r["y"] for r in rows], share or 0.0)
+    vectors = corpus_vectors(documents) if len({r["y"] for r in rows}) > 1 else None
+    return fit([r["text"] for r in rows], [r["y"] for r in rows], share or 0.0, vectors=vectors)
 
 
 def held_out() -> Column:
@@ -193,8 +258,8 @@ def held_out() -> Column:
 def quality(documents: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``documents``.
 
-    Labels of held-out rows (crc32 of the doc_id as text, modulo 4, is 2) are never learned from; only the text enters a
-    score. Null and empty texts pool to nothing and are scored so; rows that repeat get theirs each; a null doc_id is not
+    Labels of held-out rows (crc32 of the doc_id as text, modulo 4, is 2) are never learned from; only their texts enter
+    the word vectors and their own scores. Null and empty texts pool to nothing and are scored so; rows that repeat get theirs each; a null doc_id is not
     held out. Without usable labels every score is the prior. Empty table: empty result; other columns are ignored.
     """
     model = fit_from(documents, labels, ~held_out())

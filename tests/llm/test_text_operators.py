@@ -318,6 +318,31 @@ def test_quality_learns_shapes():
     assert alone[1] == pytest.approx(scores[0], abs=1e-5) and 0 <= alone[0] <= 1
 
 
+def test_quality_word_vectors_cover_all_documents(spark):
+    """Also texts without a label and over the sample's length count, each neighbour within two words once."""
+    long = " ".join(f"far{i % 61}" for i in range(5000))
+    assert len(long) > quality_classifier.MAX_CHARS
+    texts = ["one two one two", "THREE! four", "a b c c c d", "new vocabulary outside the sample", long, None, "", "x"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+
+    index, total = quality_classifier.index_vectors(), np.zeros((1 << quality_classifier.BUCKET_BITS, quality_classifier.DIMENSION))
+    for text in filter(None, texts):
+        ids = np.array(quality_classifier.terms(pa.array([text]))[:3]).T
+        for i, own in enumerate(ids):
+            for j in range(max(i - 2, 0), min(i + 3, len(ids))):
+                if j != i:
+                    for k in own:
+                        total[k] += index[ids[j]].sum(0)
+    total[-1] = 0
+    expected = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(quality_classifier.corpus_vectors(rows), expected, atol=1e-12)
+
+    model = quality_classifier.fit_from(rows, marks, F.lit(True))
+    for word in ("vocabulary", "far7"):
+        assert model.table[quality_classifier.terms(pa.array([word]))[0]].any()
+
+
 @pytest.mark.parametrize("score", [toxicity.toxicity, quality_classifier.quality])
 def test_classifiers_without_labels_and_with_odd_rows(spark, labels, score):
     got = score(docs(spark), labels).collect()
