@@ -129,6 +129,29 @@ def _(spark, sf_dir):
     return rounded(agg.mean_delay_pivot(flights_v(spark, sf_dir), CARRIERS), CARRIERS)
 
 
+@query(
+    "mean_delay_by_carrier",
+    with_flights("select origin, op_carrier, round(avg(dep_delay_new), 6) as mean_delay from flights_v group by 1, 2"),
+)
+def _(spark, sf_dir):
+    return rounded(agg.mean_delay_by_carrier(flights_v(spark, sf_dir)), ["mean_delay"])
+
+
+_FEW = CARRIERS[:3]
+_FEW_SQL = "select origin, " + ", ".join(
+    f"round(avg(dep_delay_new) filter (where {rule}), 6) as {name}"
+    for name, rule in (
+        *((k, f"op_carrier = '{k}'") for k in _FEW),
+        ("other", "op_carrier is null or op_carrier not in (" + ", ".join(f"'{k}'" for k in _FEW) + ")"),
+    )
+) + " from flights_v group by origin"
+
+
+@query("mean_delay_pivot_other", with_flights(_FEW_SQL))
+def _(spark, sf_dir):
+    return rounded(agg.mean_delay_pivot(flights_v(spark, sf_dir), _FEW, other="other"), [*_FEW, "other"])
+
+
 @query("page_rows", with_flights(_PIVOT_SQL + " order by origin limit 2 offset 1"))
 def _(spark, sf_dir):
     matrix = agg.mean_delay_pivot(flights_v(spark, sf_dir), CARRIERS)

@@ -88,10 +88,28 @@ def mean_delay_pivot(
     delay: str = "dep_delay_new",
     origin: str = "origin",
     carrier: str = "op_carrier",
+    other: str | None = None,
 ) -> DataFrame:
-    """Origin by carrier matrix of the mean delay; the carrier list fixes the schema and saves a distinct job."""
+    """Origin by carrier matrix of the mean delay; the carrier list fixes the schema and saves a distinct job.
+
+    Trips of carriers outside the list, or of none, are in one column named ``other``, and left out without that name;
+    ``mean_delay_by_carrier`` needs no list.
+    """
     x = null_nan(F.col(delay).cast("double"))
-    return df.groupBy(origin).pivot(carrier, list(carriers)).agg(F.avg(x))
+    if other is None:
+        return df.groupBy(origin).pivot(carrier, list(carriers)).agg(F.avg(x))
+    if other in carriers:
+        raise ValueError(f"{other!r} is a carrier of the list")
+    named = F.when(F.col(carrier).isin(list(carriers)), F.col(carrier)).otherwise(other)
+    rows = df.select(F.col(origin), named.alias("_carrier"), x.alias("_delay"))
+    return rows.groupBy(origin).pivot("_carrier", [*carriers, other]).agg(F.avg("_delay"))
+
+
+def mean_delay_by_carrier(
+    df: DataFrame, delay: str = "dep_delay_new", origin: str = "origin", carrier: str = "op_carrier"
+) -> DataFrame:
+    """The matrix in long form, over all carriers: one row per origin and carrier, also where the carrier is missing."""
+    return df.groupBy(origin, carrier).agg(F.avg(null_nan(F.col(delay).cast("double"))).alias("mean_delay"))
 
 
 def delay_level_counts(df: DataFrame, delay: str = "dep_delay_new", carrier: str = "op_carrier") -> DataFrame:

@@ -227,3 +227,18 @@ def test_replace_parquet_may_read_its_own_path(spark, tmp_path, name):
     assert sinks.replace_parquet(first.where("id >= 4"), path).count() == 6
     assert sinks.publish_table(spark.read.parquet(path).where("id >= 8"), "ontime_odd_path", path).count() == 2
     spark.sql("drop table ontime_odd_path")
+
+
+def test_mean_delays_of_unlisted_carriers(spark):
+    rows = spark.createDataFrame(
+        [("A", "C0", 1.0), ("A", "C9", 2.0), ("A", None, 4.0), ("B", "C9", 5.0), ("B", "C8", float("nan"))],
+        "origin string, op_carrier string, dep_delay_new double",
+    )
+    matrix = agg.mean_delay_pivot(rows, ["C0"], other="other")
+    assert {tuple(r) for r in matrix.collect()} == {("A", 1.0, 3.0), ("B", None, 5.0)}
+    long = agg.mean_delay_by_carrier(rows)
+    assert {tuple(r) for r in long.collect()} == {
+        ("A", "C0", 1.0), ("A", "C9", 2.0), ("A", None, 4.0), ("B", "C9", 5.0), ("B", "C8", None),
+    }
+    with pytest.raises(ValueError):
+        agg.mean_delay_pivot(rows, ["C0"], other="C0")
