@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import product
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ontime.catalog import inputs
 from ontime.catalog.registry import (
@@ -512,13 +513,13 @@ DRIFTING = ("crs_dep_time", "distance", "arr_delay", "carrier_delay", "day_of_mo
 _BINS = 20
 
 
-def _drift_ctes() -> list[str]:
+def _drift_ctes(columns=DRIFTING) -> list[str]:
     both = "select *, 1 as s from serve_v union all select *, 0 as s from train_v"
     binned = " union all ".join(
         f"select '{x}' as column_name, s, coalesce(least(cast(floor((cast({x} as double) - lo) * {_BINS} "
         f"/ nullif(hi - lo, 0)) as int), {_BINS - 1}), 0) as bin from both_v, "
         f"(select cast(min({x}) as double) as lo, cast(max({x}) as double) as hi from both_v) b where {x} is not null"
-        for x in DRIFTING
+        for x in columns
     )
     return [
         _TRAIN_CTE, _SERVE_CTE, f"both_v as ({both})", f"binned_v as ({binned})",
@@ -577,6 +578,159 @@ def _(spark, sf_dir):
     return quality.reconcile_counts(serve, serve.where(F.col("arr_delay").isNotNull()))
 
 
+# The same over every column of the table ------------------------------------------------------------------------------
+
+ALL_COLUMNS = {
+    "fl_date": "time",
+    **dict.fromkeys(("tail_num", "op_carrier", "op_unique_carrier", "origin", "dest", "origin_city_name", "dest_city_name",
+                     "origin_state_abr", "dest_state_abr", "dep_time_blk", "arr_time_blk"), "string"),
+    **dict.fromkeys(("flight_id", "year", "quarter", "month", "day_of_month", "day_of_week", "op_carrier_fl_num",
+                     "origin_airport_id", "dest_airport_id", "origin_airport_seq_id", "crs_dep_time", "crs_arr_time",
+                     "crs_elapsed_time", "arr_del15", "dep_del15", "cancelled", "diverted", "distance_group"), "int"),
+    **dict.fromkeys(("dep_delay", "arr_delay", "dep_delay_new", "arr_delay_new", "carrier_delay", "weather_delay",
+                     "nas_delay", "security_delay", "late_aircraft_delay", "taxi_out", "taxi_in", "wheels_off",
+                     "wheels_on", "actual_elapsed_time", "air_time", "pred_delay", "distance"), "float"),
+}
+ALL_DOUBLES = tuple(n for n, kind in ALL_COLUMNS.items() if kind == "float")
+ALL_NUMBERS = tuple(n for n, kind in ALL_COLUMNS.items() if kind in ("int", "float"))
+_SILVER_DOUBLES = tuple(n for n in ALL_DOUBLES if n not in ("nas_delay", "air_time", "pred_delay"))
+ALL_ENRICHED = (*_SILVER_DOUBLES, *(f"{side}_{m}" for side in ("dep", "arr") for m in MEASURES))
+
+
+def _all_pairs_sql(columns, source: str) -> str:
+    """One scan for all pairs."""
+    cells = ", ".join(
+        f"{{'column_a': '{a}', 'column_b': '{b}', 'correlation': "
+        + (f"case when var_pop({a}) > 0 then cast(1 as double) end" if a == b else f"round(corr({a}, {b}), 6)") + "}"
+        for a, b in product(columns, columns)
+    )
+    return f"select unnest([{cells}], recursive := true) from {source}"
+
+
+def _correlations(df):
+    return rounded(agg.correlation_matrix(df, filters.numeric_columns(df)), ["correlation"])
+
+
+@query("correlation_matrix_all", with_flights(_all_pairs_sql(ALL_DOUBLES, "flights_v")))
+def _(spark, sf_dir):
+    return _correlations(flights_v(spark, sf_dir))
+
+
+@query(
+    "correlation_matrix_filtered_all",
+    with_flights(_all_pairs_sql(ALL_DOUBLES, "chosen_v"),
+                 "chosen_v as (select * from flights_v where origin || '-' || dest like '%AP1%')"),
+)
+def _(spark, sf_dir):
+    return _correlations(filters.filter_like(flights_v(spark, sf_dir), c.route("origin", "dest"), "%AP1%"))
+
+
+@query("correlation_matrix_enriched_all", with_both(_all_pairs_sql(ALL_ENRICHED, "enriched_v"), *ENRICHED_CTES))
+def _(spark, sf_dir):
+    return _correlations(inputs.enriched(spark, sf_dir))
+
+
+_ALL_TRAIN_CTE = f"train_profile_v as ({_profile_sql('train_v', ALL_COLUMNS)})"
+_ALL_RULE_CTES = (_TRAIN_CTE, _ALL_TRAIN_CTE, _RULES_CTE)
+
+
+def _all_ranges(spark, sf_dir):
+    params = run_params(AIRPORT, "2024-01-01", "2024-01-20", "2024-01-30", airports=None)
+    return validation_ranges(flights_v(spark, sf_dir), params)
+
+
+@query("column_profile_all", with_flights(_profile_sql("flights_v", ALL_COLUMNS)))
+def _(spark, sf_dir):
+    return rounded(quality.column_profile(flights_v(spark, sf_dir)), _ROUNDED, 4)
+
+
+@query("infer_expectations_all", with_flights("select * from rules_v", *_ALL_RULE_CTES))
+def _(spark, sf_dir):
+    train, _serve = _all_ranges(spark, sf_dir)
+    return quality.infer_expectations(quality.column_profile(train, median=None))
+
+
+@query(
+    "compare_profiles_all",
+    with_flights(
+        "select t.column_name, s.n_rows as serve_n_rows, t.n_rows as train_n_rows, s.mean as serve_mean, "
+        "t.mean as train_mean, round(s.mean - t.mean, 3) as mean_change, round(s.median - t.median, 6) as median_change, "
+        "round(s.n_missing / s.n_rows - t.n_missing / t.n_rows, 6) as missing_change "
+        "from train_profile_v t join serve_profile_v s on s.column_name = t.column_name",
+        _TRAIN_CTE, _SERVE_CTE, _ALL_TRAIN_CTE, f"serve_profile_v as ({_profile_sql('serve_v', ALL_COLUMNS)})",
+    ),
+)
+def _(spark, sf_dir):
+    train, serve = _all_ranges(spark, sf_dir)
+    profiles = [rounded(quality.column_profile(part), _ROUNDED, 4) for part in (serve, train)]
+    compared = quality.compare_profiles(*profiles).select(*_COMPARED)
+    return rounded(rounded(compared, ["median_change", "missing_change"]), ["mean_change"], 3)
+
+
+_STRINGS = [n for n, kind in ALL_COLUMNS.items() if kind == "string"]
+_ALL_ODD_CTE = """odd_v as (
+ select * exclude (origin_airport_id) replace (
+  case when op_carrier = 'C6' then 'C9' else op_carrier end as op_carrier,
+  cast(crs_dep_time as varchar) as crs_dep_time, case when dest_state_abr is not null then distance end as distance),
+  'G1' as gate from serve_v)"""
+_ALL_ODD_COLUMNS = {
+    **{n: kind for n, kind in ALL_COLUMNS.items() if n != "origin_airport_id"}, "crs_dep_time": "string", "gate": "string",
+}
+_ALL_UNSEEN_CTE = "domains_v as (" + " union all ".join(
+    f"select distinct '{n}' as column_name, {n} as value from train_v where {n} is not null and "
+    f"(select has_domain from rules_v where column_name = '{n}')" for n in _STRINGS
+) + "), unseen_v as (select column_name, value, cast(count(*) as bigint) as n_rows from (" + " union all ".join(
+    f"select '{n}' as column_name, {n} as value from odd_v" for n in _STRINGS
+) + """) v where value is not null and column_name in (select column_name from domains_v)
+ and (column_name, value) not in (select column_name, value from domains_v) group by 1, 2)"""
+
+
+@query(
+    "validate_profile_all",
+    with_flights(_ANOMALIES_SQL, *_ALL_RULE_CTES, _SERVE_CTE, _ALL_ODD_CTE, _ALL_UNSEEN_CTE,
+                 f"odd_profile_v as ({_profile_sql('odd_v', _ALL_ODD_COLUMNS)})"),
+)
+def _(spark, sf_dir):
+    train, serve = _all_ranges(spark, sf_dir)
+    odd = serve.drop("origin_airport_id").withColumns({
+        "op_carrier": F.when(F.col("op_carrier") == "C6", "C9").otherwise(F.col("op_carrier")),
+        "crs_dep_time": F.col("crs_dep_time").cast("string"),
+        "distance": F.when(F.col("dest_state_abr").isNotNull(), F.col("distance")),
+        "gate": F.lit("G1"),
+    })
+    rules = stage_table(quality.infer_expectations(quality.column_profile(train, median=None)))
+    unseen = quality.unseen_values(odd, quality.infer_domains(train, rules))
+    return quality.validate_profile(quality.column_profile(odd, median=None), quality.environment_rules(rules), unseen)
+
+
+def _all_drift(spark, sf_dir):
+    train, serve = _all_ranges(spark, sf_dir)
+    numbers = filters.numeric_columns(serve, (NumericType,))
+    return quality.drift_distance(serve, train, numbers, _BINS)
+
+
+@query(
+    "drift_distance_all",
+    with_flights("select column_name, round(ks, 6) as ks, round(l_infinity, 6) as l_infinity, round(js, 6) as js "
+                 "from drift_v", *_drift_ctes(ALL_NUMBERS)),
+)
+def _(spark, sf_dir):
+    return rounded(_all_drift(spark, sf_dir), ["ks", "l_infinity", "js"])
+
+
+@query(
+    "retrain_signal_all",
+    with_flights(
+        "select coalesce(bool_or(ks > 0.02), false) as retrain, "
+        "cast(count(*) filter (where ks > 0.02) as bigint) as n_drifted, "
+        "arg_max(column_name, ks) as worst_column from drift_v "
+        "where column_name not in ('year', 'quarter', 'month', 'day_of_month', 'day_of_week', 'arr_delay', 'dep_delay')", *_drift_ctes(ALL_NUMBERS),
+    ),
+)
+def _(spark, sf_dir):
+    return quality.retrain_signal(_all_drift(spark, sf_dir), 0.02)
+
+
 # Graph ---------------------------------------------------------------------------------------------------------------
 
 

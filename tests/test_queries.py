@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from conftest import MEDIUM, SMALL
 
 import __spark_entry__ as entry_point
-from ontime.catalog import ORACLES, QUERIES, inputs
+from ontime.catalog import ORACLES, QUERIES, groups, inputs
+from ontime.operators.filters import numeric_columns
 from ontime.operators.graph import build_graph, pagerank
 from ontime.sources.fixtures import flights_v, weather_v
 
@@ -89,3 +90,12 @@ def test_control_values(spark):
     ranks = {r["id"]: r["pagerank"] for r in pagerank(*build_graph(flights)).collect()}
     known = {"AP0": 0.988694, "AP1": 1.003429, "AP2": 0.998316, "AP3": 0.994659, "AP4": 1.014902}
     assert ranks == pytest.approx(known, abs=1e-6)
+
+
+def test_all_columns_are_in_the_results(spark):
+    flights, rich = flights_v(spark, SMALL), inputs.enriched(spark, SMALL)
+    assert set(groups.ALL_COLUMNS) == set(flights.columns)
+    assert sorted(groups.ALL_DOUBLES) == sorted(numeric_columns(flights))
+    assert sorted(groups.ALL_ENRICHED) == sorted(numeric_columns(rich))
+    assert {r[0] for r in QUERIES["correlation_matrix_all"](spark, SMALL).collect()} == set(groups.ALL_DOUBLES)
+    assert {r[0] for r in QUERIES["drift_distance_all"](spark, SMALL).collect()} == set(groups.ALL_NUMBERS)
