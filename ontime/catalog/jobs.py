@@ -17,8 +17,9 @@ from ontime.schema import ARRIVAL_FEATURES, DEPARTURE_FEATURES
 from ontime.sources import sinks
 from ontime.sources.fixtures import flights_v, weather_v
 
-# Small settings: the queries show the operators on whole tables, tuned sizes are in ontime.schema.
-TREES, DEPTH = 5, 4
+# Fits have the reference's sizes, which are the operators' defaults: forests 100 trees of depth 7, boosting 200 of depth
+# 10, with a sample per tree 200 of depth 7 in steps of 0.005. The searches are over less than the grids of ontime.schema.
+FOREST = {"num_trees": 100, "max_depth": 7}
 METRICS = ["mse", "rmse", "mae", "r2"]
 
 
@@ -46,26 +47,26 @@ def _measured(model, test, label):
 @query("fit_random_forest")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return _measured(models.fit_random_forest(train, ARRIVAL_FEATURES, "arr_delay", TREES, DEPTH), test, "arr_delay")
+    return _measured(models.fit_random_forest(train, ARRIVAL_FEATURES, "arr_delay", **FOREST), test, "arr_delay")
 
 
 @query("fit_random_forest_departure")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir, DEPARTURE_FEATURES, "dep_delay")
-    model = models.fit_random_forest(train, DEPARTURE_FEATURES, "dep_delay", TREES, DEPTH, "sqrt")
+    model = models.fit_random_forest(train, DEPARTURE_FEATURES, "dep_delay", **FOREST, feature_subset="sqrt")
     return _measured(model, test, "dep_delay")
 
 
 @query("fit_boosted_trees")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return _measured(models.fit_boosted_trees(train, ARRIVAL_FEATURES, "arr_delay", TREES, DEPTH), test, "arr_delay")
+    return _measured(models.fit_boosted_trees(train, ARRIVAL_FEATURES, "arr_delay"), test, "arr_delay")
 
 
 @query("fit_boosted_trees_sub")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = models.fit_boosted_trees_sub(train, ARRIVAL_FEATURES, "arr_delay", TREES, DEPTH, step=0.3)
+    model = models.fit_boosted_trees_sub(train, ARRIVAL_FEATURES, "arr_delay")
     return _measured(model, test, "arr_delay")
 
 
@@ -114,7 +115,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     enriched = sinks.stage_table(inputs.enriched(spark, sf_dir))
     train, to_predict = serving_split(enriched, PARAMS)
-    model = models.fit_boosted_trees(train, ARRIVAL_FEATURES, "arr_delay", TREES, DEPTH)
+    model = models.fit_boosted_trees(train, ARRIVAL_FEATURES, "arr_delay")
     path = sinks.stage_path(spark, "model")
     model.write().overwrite().save(path)
     return models.score(path, to_predict, "arr_pred").select("flight_id", "fl_date", "arr_delay", "arr_pred")
@@ -123,8 +124,8 @@ def _(spark, sf_dir):
 @query("compare_models")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    production = models.fit_random_forest(train, ARRIVAL_FEATURES, "arr_delay", 2, 2)
-    staging = models.fit_random_forest(train, ARRIVAL_FEATURES, "arr_delay", TREES, DEPTH)
+    production = models.fit_random_forest(train, ARRIVAL_FEATURES, "arr_delay", **FOREST)
+    staging = models.fit_random_forest(train, ARRIVAL_FEATURES, "arr_delay", 100, 10)
     return models.compare_models(production, staging, test, "arr_delay", ["flight_id"])
 
 
@@ -149,7 +150,7 @@ def _(spark, sf_dir):
 @query("staged_error")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = models.fit_boosted_trees(train, ARRIVAL_FEATURES, "arr_delay", TREES, DEPTH)
+    model = models.fit_boosted_trees(train, ARRIVAL_FEATURES, "arr_delay")
     return models.staged_error(model, test, ARRIVAL_FEATURES, "arr_delay")
 
 
@@ -297,7 +298,7 @@ def _(spark, sf_dir):
     published = {}
     for target in ("arr", "dep"):
         trained = jobs.model_job(
-            table, PARAMS, target, {"random_forest": [{"num_trees": 2, "max_depth": 3}]}, f"{folder}/models",
+            table, PARAMS, target, {"random_forest": [FOREST]}, f"{folder}/models",
             f"{folder}/runs",
         )
         published[target], _agree = jobs.scoring_job(table, PARAMS, target, trained.path, folder)

@@ -122,3 +122,24 @@ def test_best_run_ignores_unknown_values(spark):
     runs = spark.createDataFrame([("a", None), ("b", 2.0), ("c", 2.0), ("d", float("nan"))], "run_id string, rmse double")
     assert m.best_run(runs).first()["run_id"] == "b"
     assert m.best_run(runs, smallest=False).first()["run_id"] == "b"
+
+
+@pytest.mark.parametrize(("name", "trees", "depth", "step"), [
+    ("fit_random_forest", 100, 7, None), ("fit_random_forest_departure", 100, 7, None), ("score", 200, 10, 0.1),
+    ("fit_boosted_trees", 200, 10, 0.1), ("fit_boosted_trees_sub", 200, 7, 0.005),
+])
+def test_registered_fits_have_the_sizes_of_the_reference(spark, monkeypatch, name, trees, depth, step):
+    from ontime.catalog import QUERIES
+
+    seen = []
+
+    def stop(estimator, *_):
+        seen.append(estimator)
+        raise InterruptedError
+
+    monkeypatch.setattr(m, "_fit", stop)
+    with pytest.raises(InterruptedError):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    size = seen[0].getOrDefault("numTrees" if step is None else "maxIter")
+    assert (size, seen[0].getOrDefault("maxDepth")) == (trees, depth)
+    assert step is None or seen[0].getOrDefault("stepSize") == step
