@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "embeddings"):
         connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     expected = connection.sql(ORACLES[name])
     got = QUERIES[name](spark, SMALL)
