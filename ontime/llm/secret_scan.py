@@ -7,10 +7,11 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.llm.common import slices, prepare_workers, stage
+from ontime.llm.membership import marked
 
 
 @dataclass(frozen=True)
@@ -81,16 +82,21 @@ def _searcher(rules: Sequence[Rule]):
     return search
 
 
+def _row_key() -> Column:
+    """A version of a path as one string: the blob is hexadecimal, so the first colon ends it."""
+    return F.concat(F.col("blob"), F.lit(":"), F.coalesce(F.col("path").cast("string"), F.lit("null")))
+
+
 def scan_versions(
     spark: SparkSession, texts: DataFrame, versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES
 ) -> tuple[DataFrame, DataFrame]:
     """Bring the ledger in folder ``ledger`` up to date with the versions in ``texts`` (path, blob, text).
 
-    ``versions`` holds path and blob of the same rows, written beforehand. A blob is the text's SHA-256. One path per blob carries it; blobs whose (rule, version) pairs are all in the ledger are
-    not read into the search again, and of the others only the unseen pairs are searched. The ledger has one row per
-    searched pair, with or without findings (rows that repeat a path and its text add equal ones), and is appended to by
-    one atomic write. Returns the ledger and the pairs that
-    this call searched.
+    ``versions`` holds path and blob of the same rows, written beforehand. A blob is the text's SHA-256. One path per blob
+    carries it; blobs whose (rule, version) pairs are all in the ledger are not searched again, and of the others only the
+    unseen pairs are. Which rows these are is decided without shuffling their texts. The ledger has one row per searched
+    pair, with or without findings (rows that repeat a path and its text add equal ones), and is appended to by one atomic
+    write. Returns the ledger and the pairs that this call searched.
     """
     wanted = spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")
     try:
@@ -104,20 +110,19 @@ def scan_versions(
     current = known.join(wanted, ["kind", "version"], "left_semi")
     done = current.groupBy("blob").agg(F.collect_set("kind").alias("_done"))  # at most one entry per rule
     every = F.array(*[F.lit(r.kind) for r in rules])
-    todo = carriers.join(done, "blob", "left").select(
-        "blob", "path", F.array_except(every, F.coalesce("_done", F.array().cast("array<string>"))).alias("kinds")
-    )
-    # Most rows carry their blob: those that do not are the short list, and the texts need not be shuffled for it while
-    # it is small enough for a broadcast; beyond that both sides are shuffled by blob and path.
-    own = (F.col("blob") == F.col("_blob")) & F.col("path").eqNullSafe(F.col("_path"))
-    renamed = {"blob": "_blob", "path": "_path"}
-    carried = todo.where(F.size("kinds") == len(rules)).withColumnsRenamed(renamed)
-    skipped = stage(versions.distinct().join(carried, own, "left_anti"), "skipped").withColumnsRenamed(renamed)
-    partly = stage(todo.where((F.size("kinds") > 0) & (F.size("kinds") < len(rules))), "partly")
-    fresh = texts.join(skipped, own, "left_anti").select("blob", "text", every.alias("kinds"))
-    resumed = texts.join(partly.withColumnsRenamed(renamed), own).select("blob", "text", "kinds")
+    kinds = F.array_except(every, F.coalesce("_done", F.array().cast("array<string>")))
+    todo = carriers.join(done, "blob", "left").select("blob", "path", F.sort_array(kinds).alias("kinds"))
+    todo = stage(todo.where(F.size("kinds") > 0).select(_row_key().alias("_key"), "kinds"), "todo")
+    keys = versions.select(_row_key().alias("_key")).distinct()
+    searched = spark.createDataFrame([], _FOUND)
     prepare_workers(spark)
-    searched = fresh.unionByName(resumed).mapInArrow(_searcher(rules), _FOUND)
+    # One set of unseen rules on the first run, one or two after rules changed: at most all subsets of the rules.
+    for unseen in sorted(r["kinds"] for r in todo.select("kinds").distinct().collect()):
+        some = F.array(*map(F.lit, unseen))
+        taken = stage(todo.where(F.col("kinds") == some).select("_key"), "searched-rows")
+        others = stage(keys.join(taken, "_key", "left_anti"), "other-rows")
+        chosen = marked(texts, _row_key(), taken, others, "_search").where("_search")
+        searched = searched.unionByName(chosen.select("blob", "text", some.alias("kinds")).mapInArrow(_searcher(rules), _FOUND))
     new = stage(searched, "findings")
     new.write.mode("append").parquet(ledger)
     return spark.read.schema(_FOUND).parquet(ledger), new

@@ -3,17 +3,20 @@
 import hashlib
 import math
 import re
+import struct
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ontime.llm import minhash, mixing, quality_classifier, secret_scan, segmentation, token_counts, toxicity, warc
 from ontime.llm.common import fresh_folder
 from ontime.llm.components import connected_components
 from ontime.llm.exact_dedup import drop_copies, exact_groups
+from ontime.llm import quality_rules as quality_rules_module
 from ontime.llm.quality_rules import quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -233,6 +236,38 @@ def test_quality_rules(spark):
     assert quality_rules(docs(spark, []), docs(spark)).count() == 0
 
 
+def _chained(*values, seed=42):
+    """Spark's xxhash64 of several values: each is hashed with the hash so far as its seed."""
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<Q", v), seed)
+    return seed
+
+
+def _grams(text):
+    words = WORD.findall(text or "")
+    hashes = [_chained(w) for w in words]
+    grams = hashes + [_chained(a, b) for a, b in zip(hashes, hashes[1:], strict=False)] + [_chained("end", w[-3:]) for w in words]
+    return [g % quality_rules_module.BUCKETS for g in grams]
+
+
+def test_quality_ratio_against_plain_counts(spark):
+    rows = [(i, " ".join(f"w{(i * k) % 13}" for k in range(i % 29)), "s") for i in range(60)] + ROWS
+    trusted = set(range(0, 60, 4)) | {5, 77}
+    frame = spark.createDataFrame([(i, t, "x", "y") for i, t, _ in rows], "doc_id long, text string, _t string, _trusted string")
+    got = quality_rules(frame, spark.createDataFrame([(i,) for i in [*trusted, None, 4]], "doc_id long"), -0.1).collect()
+    raw, target = Counter(), Counter()
+    for i, text, _ in rows:
+        raw.update(_grams(text))
+        target.update(_grams(text) if i in trusted else ())
+    n, t, size = sum(raw.values()), sum(target.values()), quality_rules_module.BUCKETS
+    scores = [round(math.log((target[b] + 1) / (t + size)) - math.log((raw[b] + 1) / (n + size)), 4) for b in range(size)]
+    expected = sorted((str(i), len(g := _grams(text)) and sum(scores[b] for b in g) / len(g)) for i, text, _ in rows)
+    found = sorted((str(r["doc_id"]), r["llr"], r["kept"], r["base_failed"]) for r in got)
+    assert len(found) == len(expected)
+    for (i, llr, kept, failed), (j, ratio) in zip(found, expected, strict=True):
+        assert i == j and llr == pytest.approx(ratio, abs=2e-6) and kept == (not failed and llr >= -0.1)
+
+
 def test_token_counts(spark):
     encoding = token_counts._encoding(token_counts.default_ranks())
     lengths = [len(encoding.encode_ordinary(t or "")) for _, t, _ in ROWS]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from ontime.llm import url_filter, vector_codes, whitening
+from ontime.llm import membership, url_filter, vector_codes, whitening
 from ontime.llm.common import fresh_folder
 from ontime.llm.url_filter import DigestArray, judged_urls, write_array
 
@@ -252,3 +252,18 @@ def test_vector_rows_keep_their_labels(spark):
     rows = [Row(vec_id=i, embedding=[0.1 * i] * 8, label="a" if i % 2 else None) for i in range(20)]
     got = vector_codes.vector_codes(spark.createDataFrame(rows)).groupBy("label_error").agg(F.sum("error").alias("e")).collect()
     assert all(r["label_error"] == r["e"] for r in got) and len(got) in (1, 2)
+
+
+@pytest.mark.parametrize("bits", [None, 1 << 15])
+def test_marked_rows_are_exact(spark, monkeypatch, bits):
+    """With few bits nearly every row has both of them and goes through the join."""
+    if bits:
+        monkeypatch.setattr(membership, "table_bits", lambda n: bits)
+    wide = spark.range(60_000).select(F.expr("if(id = 7, null, id div 2)").alias("doc_id"), F.col("id").alias("i"))
+    keys = wide.where("doc_id is not null").select(F.col("doc_id").alias("_key")).distinct()
+    inside, outside = keys.where("_key % 3 = 0"), keys.where("_key % 3 != 0")
+    got = membership.marked(wide.select("doc_id", "i"), F.col("doc_id"), inside, outside, "_flag")
+    assert got.columns == ["doc_id", "i", "_flag"] and got.count() == 60_000
+    assert got.where("_flag is null or _flag != coalesce(doc_id % 3 = 0, false)").count() == 0
+    nothing = membership.marked(wide.select("doc_id"), F.col("doc_id"), keys.where("false"), keys, "_flag")
+    assert nothing.where("_flag").count() == 0 and nothing.count() == 60_000
