@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import SPACE, SPACE_CHARS, WORD
+from ontime.llm.common import SPACE, WORD, stage
+from ontime.llm.membership import marked
 
 BUCKETS = 1 << 14
 WINDOW = 5
@@ -25,8 +26,8 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 
 
-def _n_repeat_words(hashes: Column) -> Column:
-    """Words that lie in a window of ``WINDOW`` words which occurs at least twice in the text."""
+def _n_repeat_words(hashes: Column, pairs: Column) -> Column:
+    """Words that lie in a window of ``WINDOW`` (five) words which occurs at least twice in the text."""
     n = F.size(hashes)
 
     def covered(windows: Column) -> Column:
@@ -49,52 +50,59 @@ def _n_repeat_words(hashes: Column) -> Column:
         repeated = F.size(F.array_distinct(windows)) < F.size(windows)
         return F.when(repeated, _let(placed, lambda order: _let(positions(order), length))).otherwise(0)
 
+    # a window of five words: two neighbouring pairs and the word after them
     windows = F.transform(
-        F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)])
+        F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(F.get(pairs, i), F.get(pairs, i + 2), F.get(hashes, i + 4))
     )
     return F.when(n > WINDOW, _let(windows, covered)).otherwise(0)
 
 
-def _grams(words: Column, hashes: Column) -> list[Column]:
-    """Buckets of the single words, the pairs of neighbours, and the words' last characters."""
-    def bucket(h: Column) -> Column:
-        return F.pmod(h, F.lit(BUCKETS)).cast("int")
+def _pairs(hashes: Column) -> Column:
+    """One hash per pair of neighbouring words."""
+    places = F.sequence(F.lit(0), F.size(hashes) - 2)
+    return F.when(
+        F.size(hashes) > 1, F.transform(places, lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1)))
+    ).otherwise(F.array().cast("array<bigint>"))
 
-    singles = F.transform(hashes, bucket)
-    pairs = F.when(
-        F.size(hashes) > 1,
-        F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - 2), lambda i: bucket(F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1)))
-        ),
-    ).otherwise(F.array().cast("array<int>"))
-    endings = F.transform(words, lambda w: bucket(F.xxhash64(F.lit("end"), F.right(w, F.lit(ENDING)))))
-    return [singles, pairs, endings]
+
+def _ending(word: Column) -> Column:
+    return F.xxhash64(F.lit("end"), F.substring(word, -ENDING, ENDING))
+
+
+def _bucket(gram: Column) -> Column:
+    return gram.bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def _hashed(documents: DataFrame, *keep: str) -> DataFrame:
+    """``keep``, the text, its words, and hashes of the words and of pairs of neighbours."""
     texts = documents.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-    words = texts.select(*keep, "_text", _words(F.col("_text")).alias("_words"))
-    return words.select("*", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    words = texts.select("*", _words(F.col("_text")).alias("_words"))
+    hashed = words.select("*", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    return hashed.select("*", _pairs(F.col("_hashes")).alias("_pairs"))
 
 
 def gram_scores(documents: DataFrame, trusted: DataFrame) -> list[float]:
     """log P(bucket | trusted) - log P(bucket | all documents) for every bucket, in order of the bucket.
 
     Counts run over all documents and all trusted ones (those whose doc_id is in ``trusted``), pre-aggregated per task to
-    ``BUCKETS`` counters; with add-one smoothing. The result has a fixed size.
+    ``BUCKETS`` counters; with add-one smoothing. Which documents are trusted is decided without shuffling their texts.
+    N-grams are the single words, the pairs of neighbours, and the words' last characters. The result has a fixed size.
     """
-    ids = trusted.select(F.col("doc_id").alias("_t")).distinct()
-    marked = documents.join(ids, documents["doc_id"] == ids["_t"], "left")
-    grams = _hashed(marked, "_t").select(
-        F.col("_t").isNotNull().cast("long").alias("_trusted"),
-        F.explode(F.concat(*_grams(F.col("_words"), F.col("_hashes")))).alias("bucket"),
+    every = documents.select(F.col("doc_id").alias("_key")).where("_key is not null").distinct()
+    ids = trusted.select(F.col("doc_id").alias("_key")).distinct()
+    inside = stage(every.join(ids, "_key", "left_semi"), "trusted")
+    outside = stage(every.join(inside, "_key", "left_anti"), "untrusted")
+    texts = marked(documents.select("doc_id", "text"), F.col("doc_id"), inside, outside, "_trusted")
+    grams = _hashed(texts, "_trusted").select(
+        F.col("_trusted").cast("long").alias("_trusted"),
+        F.concat("_hashes", "_pairs", F.transform("_words", _ending)).alias("_grams"),
     )
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("_trusted").alias("t"))
+    # outer: a plain explode first filters by the size of the array, for which all of it would be made twice
+    grams = grams.select("_trusted", F.explode_outer("_grams").alias("_gram"))
+    counts = grams.where("_gram is not null").groupBy(_bucket(F.col("_gram")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum("_trusted").alias("t"))
     sizes = {r["bucket"]: (r["n"], r["t"]) for r in counts.collect()}  # at most BUCKETS rows
     raw = sum(n for n, _ in sizes.values()) + BUCKETS
     target = sum(t for _, t in sizes.values()) + BUCKETS
-
-
     found = (sizes.get(b, (0, 0)) for b in range(BUCKETS))
     return [round(math.log((t + 1) / target) - math.log((n + 1) / raw), 4) for n, t in found]
 
@@ -111,24 +119,28 @@ def quality_rules(documents: DataFrame, trusted: DataFrame, threshold: float = T
     """
     scores = gram_scores(documents, trusted)
     table = F.split(F.lit(",".join(map(str, scores))), ",").cast("array<double>")
-    hashed = _hashed(documents, "doc_id")
+    hashed = _hashed(documents.select("doc_id", "text"), "doc_id")
     text = F.col("_text")
     lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(WORD)))
+
+    def add(total: Column, gram: Column) -> Column:
+        return total + F.get(table, _bucket(gram))
+
+    ratio = F.aggregate("_words", F.lit(0.0), lambda total, word: add(total, _ending(word)))
+    for grams in ("_hashes", "_pairs"):
+        ratio = F.aggregate(grams, ratio, add)
     parts = hashed.select(
         "doc_id",
         F.size("_hashes").cast("long").alias("n_words"),
-        F.length(F.translate(text, SPACE_CHARS, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        _n_repeat_words(F.col("_hashes")).cast("long").alias("n_repeat_words"),
-        *[g.alias(f"_g{i}") for i, g in enumerate(_grams(F.col("_words"), F.col("_hashes")))],
-    )
-    total = sum(
-        (F.aggregate(f"_g{i}", F.lit(0.0), lambda a, b: a + F.get(table, b)) for i in range(3)), start=F.lit(0.0)
+        _n_repeat_words(F.col("_hashes"), F.col("_pairs")).cast("long").alias("n_repeat_words"),
+        ratio.alias("_total"),
+        (2 * F.size("_hashes") + F.size("_pairs")).alias("_n_grams"),
     )
-    n_grams = F.size("_g0") + F.size("_g1") + F.size("_g2")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = parts.withColumn("llr", F.round(F.coalesce(F.try_divide(total, n_grams), F.lit(0.0)), 6))
+    judged = parts.withColumn("llr", F.round(F.coalesce(F.try_divide("_total", "_n_grams"), F.lit(0.0)), 6))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & (F.col("llr") >= threshold)).alias("kept"), "llr",
