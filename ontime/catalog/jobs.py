@@ -13,12 +13,12 @@ from ontime.operators import aggregates as agg
 from ontime.operators import models
 from ontime.plans import jobs
 from ontime.plans.enriched import serving_split
-from ontime.schema import ARRIVAL_FEATURES, DEPARTURE_FEATURES
+from ontime.schema import ARRIVAL_FEATURES, DEPARTURE_FEATURES, FOREST_GRID
 from ontime.sources import sinks
 from ontime.sources.fixtures import flights_v, weather_v
 
 # Fits have the reference's sizes, which are the operators' defaults: forests 100 trees of depth 7, boosting 200 of depth
-# 10, with a sample per tree 200 of depth 7 in steps of 0.005. The searches are over less than the grids of ontime.schema.
+# 10, with a sample per tree 200 of depth 7 in steps of 0.005.
 FOREST = {"num_trees": 100, "max_depth": 7}
 METRICS = ["mse", "rmse", "mae", "r2"]
 
@@ -70,33 +70,46 @@ def _(spark, sf_dir):
     return _measured(model, test, "arr_delay")
 
 
-_CANDIDATES = models.expand_grid({"num_trees": (2, 4), "max_depth": (2, 4), "feature_subset": ("auto", "sqrt")})
+# Of FOREST_GRID the candidates of depth 7, with its full numbers of trees: README gives the times of deeper fits.
+_GRID = {**FOREST_GRID, "max_depth": FOREST_GRID["max_depth"][:1]}
+_SHALLOW = {**_GRID, "feature_subset": ("sqrt",)}
+_SPACE = {"num_trees": (2, 4, 6, 8, 10), "max_depth": (2, 3, 4)}  # a fiftieth and a third of SEARCH_SPACE
+_SETTINGS = "num_trees int, max_depth int, rmse double"
 
 
 @query("grid_search")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    _fitted, runs = models.grid_search(train, test, ARRIVAL_FEATURES, "arr_delay", _CANDIDATES)
+    _fitted, runs = models.grid_search(train, test, ARRIVAL_FEATURES, "arr_delay", models.expand_grid(_GRID))
     return rounded(models.runs_table(spark, runs), METRICS)
 
 
+def _validated(spark, found):
+    rows = [(p["num_trees"], p["max_depth"], float(e)) for p, e in zip(found.candidates, found.avgMetrics, strict=True)]
+    return spark.createDataFrame(rows, _SETTINGS)
+
+
 @query("cross_validate")
 def _(spark, sf_dir):
     train, _test = _split(spark, sf_dir)
-    candidates = models.random_grid({"num_trees": (2, 4), "max_depth": (2, 3)}, 2)
-    fitted = models.cross_validate(train, ARRIVAL_FEATURES, "arr_delay", candidates, "flight_id", folds=2)
-    rows = [(p["num_trees"], p["max_depth"], float(m)) for p, m in zip(candidates, fitted.avgMetrics, strict=True)]
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, rmse double")
+    candidates = models.expand_grid(_SPACE)
+    return _validated(spark, models.cross_validate(train, ARRIVAL_FEATURES, "arr_delay", candidates, "flight_id"))
+
+
+@query("sequential_search")
+def _(spark, sf_dir):
+    """32 points over five folds; every point brings along the smaller numbers of trees."""
+    train, _test = _split(spark, sf_dir)
+    return _validated(spark, models.sequential_search(train, ARRIVAL_FEATURES, "arr_delay", _SPACE, "flight_id"))
 
 
 @query("log_runs")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     path = sinks.stage_path(spark, "runs")
-    for kind in ("random_forest", "boosted_trees"):
-        _fitted, runs = models.grid_search(
-            train, test, ARRIVAL_FEATURES, "arr_delay", [{"num_trees": 2, "max_depth": 3}], kind
-        )
+    boosted = [{"num_trees": n, "max_depth": 10} for n in (5, 10)]
+    for kind, candidates in (("random_forest", models.expand_grid(_SHALLOW)), ("boosted_trees", boosted)):
+        _fitted, runs = models.grid_search(train, test, ARRIVAL_FEATURES, "arr_delay", candidates, kind)
         log = models.log_runs(spark, runs, path)
     return rounded(log, METRICS)
 
@@ -104,8 +117,7 @@ def _(spark, sf_dir):
 @query("select_and_save")
 def _(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    candidates = [{"num_trees": n, "max_depth": 3} for n in (1, 3)]
-    fitted, runs = models.grid_search(train, test, ARRIVAL_FEATURES, "arr_delay", candidates)
+    fitted, runs = models.grid_search(train, test, ARRIVAL_FEATURES, "arr_delay", models.expand_grid(_SHALLOW))
     folder = sinks.stage_path(spark, "models")
     name, path = models.select_and_save(spark, runs, fitted, folder, AIRPORT, "arr")
     return models.score(path, test).select("flight_id", "prediction", F.lit(name).alias("model_name"))
@@ -260,29 +272,40 @@ def _(spark, sf_dir):
     return rounded(models.staged_error(model, rows, ["distance_group"], "arr_delay"), ["mse"])
 
 
-@query(
-    "cross_validate_means",
-    with_flights(
-        " union all ".join(
-            f"select {d} as max_depth, round(avg(rmse), 6) as rmse from (select fold, sqrt(avg(power(arr_delay - "
-            f"(t{d} - s{d}) / (m{d} - n{d}), 2))) as rmse from sums_v group by fold) f"
-            for d in (0, 10)
-        ),
-        _KNOWN_CTE,
-        "folded_v as (select *, cast('0x' || substr(md5('42|' || cast(flight_id as varchar)), 1, 8) as bigint) % 5 as fold "
-        "from known_v)",
-        "sums_v as (select *, sum(arr_delay) over () as t0, count(*) over () as m0, "
-        "sum(arr_delay) over (partition by fold) as s0, count(*) over (partition by fold) as n0, "
-        "sum(arr_delay) over (partition by distance_group) as t10, count(*) over (partition by distance_group) as m10, "
-        "sum(arr_delay) over (partition by fold, distance_group) as s10, "
-        "count(*) over (partition by fold, distance_group) as n10 from folded_v)",
+_FOLD_ERRORS = with_flights(
+    " union all ".join(
+        f"select {d} as max_depth, round(avg(rmse), 6) as rmse from (select fold, sqrt(avg(power(arr_delay - "
+        f"(t{d} - s{d}) / (m{d} - n{d}), 2))) as rmse from sums_v group by fold) f"
+        for d in (0, 10)
     ),
+    _KNOWN_CTE,
+    "folded_v as (select *, cast('0x' || substr(md5('42|' || cast(flight_id as varchar)), 1, 8) as bigint) % 5 as fold "
+    "from known_v)",
+    "sums_v as (select *, sum(arr_delay) over () as t0, count(*) over () as m0, "
+    "sum(arr_delay) over (partition by fold) as s0, count(*) over (partition by fold) as n0, "
+    "sum(arr_delay) over (partition by distance_group) as t10, count(*) over (partition by distance_group) as m10, "
+    "sum(arr_delay) over (partition by fold, distance_group) as s10, "
+    "count(*) over (partition by fold, distance_group) as n10 from folded_v)",
 )
+
+
+def _fold_errors(spark, found):
+    return rounded(_validated(spark, found).select("max_depth", "rmse"), ["rmse"])
+
+
+@query("cross_validate_means", _FOLD_ERRORS)
 def _(spark, sf_dir):
     """The error on each fold of the means over the other folds."""
-    fitted = models.cross_validate(_known(spark, sf_dir), ["distance_group"], "arr_delay", _ONE_TREE, "flight_id")
-    rows = [(p["max_depth"], float(m)) for p, m in zip(_ONE_TREE, fitted.avgMetrics, strict=True)]
-    return rounded(spark.createDataFrame(rows, "max_depth int, rmse double"), ["rmse"])
+    rows = _known(spark, sf_dir)
+    return _fold_errors(spark, models.cross_validate(rows, ["distance_group"], "arr_delay", _ONE_TREE, "flight_id"))
+
+
+@query("sequential_search_means", _FOLD_ERRORS)
+def _(spark, sf_dir):
+    """A search that ends when both points of its space are tried."""
+    space = {"num_trees": (1,), "max_depth": (0, 10)}
+    found = models.sequential_search(_known(spark, sf_dir), ["distance_group"], "arr_delay", space, "flight_id", seed=42)
+    return _fold_errors(spark, found)
 
 
 # Whole runs ----------------------------------------------------------------------------------------------------------

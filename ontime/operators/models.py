@@ -4,21 +4,22 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from itertools import product
+from math import prod
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions.columns import ColumnLike, as_column, null_nan, run_id
-from ontime.operators.aggregates import regression_metrics
+from ontime.operators.ensembles import SavedEnsemble, SavedModels, nested_groups, prefix_metrics
 from ontime.sources.scans import HASH_DIGITS, hash_below
+from ontime.sources.sinks import ensure_checkpoint_dir, stage_path, stage_table
 
 MAX_TREE_DEPTH = 30
 RUN_COLUMNS = ("model", "dataset", "target", "num_trees", "max_depth", "feature_subset", "step_size", "subsample")
@@ -77,9 +78,18 @@ def _preparation(features: Sequence[str], scale: bool) -> list[Any]:
     return stages
 
 
+def _vectors(preparation: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
+    """The prepared rows, over at least as many partitions as there are task slots: trees are grown by scans of them."""
+    vectors = preparation.transform(rows).select("features", label)
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    return vectors.repartition(slots) if vectors.rdd.getNumPartitions() < slots else vectors
+
+
 def _fit(estimator, df: DataFrame, features: Sequence[str], label: str, scale: bool) -> PipelineModel:
-    pipeline = Pipeline(stages=[*_preparation(features, scale), estimator])
-    return pipeline.fit(_labelled(df, features, label))
+    rows = _labelled(df, features, label)
+    preparation = Pipeline(stages=_preparation(features, scale)).fit(rows)
+    ensure_checkpoint_dir(df.sparkSession)  # boosting cuts its lineage there every few rounds
+    return PipelineModel([*preparation.stages, estimator.fit(_vectors(preparation, rows, label))])
 
 
 def _labelled(df: DataFrame, features: Sequence[str], label: str, *others: str) -> DataFrame:
@@ -156,6 +166,9 @@ def random_grid(space: Mapping[str, Sequence[Any]], points: int = 32, seed: int
 BUILDERS = {"random_forest": random_forest, "boosted_trees": boosted_trees}
 
 
+DEFAULT_TREES = 100  # of both builders
+
+
 def grid_search(
     train: DataFrame,
     test: DataFrame,
@@ -167,48 +180,97 @@ def grid_search(
     seed: int = 1,
     parallelism: int = 4,
     scale: bool = True,
-) -> tuple[list[PipelineModel], list[dict[str, Any]]]:
-    """Fit every candidate and measure all of them in one pass over the test rows.
-
-    Returns the models and, in the same order, one run record each. ``train`` is read once per fit: pass a stage table.
+    folder: str | None = None,
+) -> tuple[SavedModels, list[dict[str, Any]]]:
+    """Measure every candidate on the test rows; returns the models and, in the same order, one run record each.
+
+    Candidates that differ in the number of trees only are nested: the largest is fitted, and the others are its first
+    trees, measured in the same pass. Fits are saved in ``folder`` (by default in the shared folder) as they finish, so
+    the driver holds at most ``parallelism`` of them; the returned models are loaded when asked for. Preparation is fitted
+    once, and the prepared rows are written once for all fits.
     """
+    spark = train.sparkSession
+    place = folder or stage_path(spark, "search")
     fitted_on = _labelled(train, features, label)
     preparation = Pipeline(stages=_preparation(features, scale)).fit(fitted_on)
-    vectors = preparation.transform(fitted_on).select("features", label)
-
-    def fit(numbered: tuple[int, Mapping[str, Any]]) -> PipelineModel:
-        i, settings = numbered
-        estimator = BUILDERS[model](label, seed=seed, prediction=f"p{i}", **settings)
-        return PipelineModel([*preparation.stages, estimator.fit(vectors)])
+    ensure_checkpoint_dir(spark)
+    vectors = stage_table(_vectors(preparation, fitted_on, label))
+    unseen = stage_table(_vectors(preparation, _labelled(test, features, label), label))
+
+    def fit(numbered: tuple[int, tuple[dict[str, Any], dict[int, int]]]):
+        number, (settings, sizes) = numbered
+        estimator = BUILDERS[model](label, seed=seed, **settings)
+        ensemble = estimator.fit(vectors)
+        path = f"{place.rstrip('/')}/{number}"
+        PipelineModel([*preparation.stages, ensemble]).write().overwrite().save(path)
+        metrics = prefix_metrics(ensemble, sorted(set(sizes.values())), unseen, label)
+        about = {
+            "model": model, "dataset": dataset, "target": label, "max_depth": estimator.getOrDefault("maxDepth"),
+            "feature_subset": settings.get("feature_subset", estimator.getOrDefault("featureSubsetStrategy")),
+            "step_size": float(estimator.getOrDefault("stepSize")) if model == "boosted_trees" else None,
+            "subsample": float(estimator.getOrDefault("subsamplingRate")),
+        }
+        return {
+            i: (SavedEnsemble(path, n), {**about, "num_trees": n, **{m: metrics.get(n, {}).get(m) for m in METRICS}})
+            for i, n in sizes.items()
+        }
 
     with ThreadPool(min(parallelism, max(len(candidates), 1))) as pool:
-        models = pool.map(fit, list(enumerate(candidates)))
-
-    scored = preparation.transform(_labelled(test, features, label)).select("features", label)
-    for fitted in models:
-        scored = fitted.stages[-1].transform(scored)
-    rows = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.col(f"p{i}").alias("predicted")) for i in range(len(models))]
-    )
-    metrics = regression_metrics(scored.select(label, F.inline(rows)), label, "predicted", ["i"])
-    by_index = {row["i"]: row for row in metrics.collect()}  # one row per candidate
-    runs = []
-    for i, settings in enumerate(candidates):
-        estimator = models[i].stages[-1]
-        runs.append(
-            {
-                "model": model,
-                "dataset": dataset,
-                "target": label,
-                "num_trees": settings.get("num_trees", estimator.getNumTrees),
-                "max_depth": estimator.getOrDefault("maxDepth"),
-                "feature_subset": settings.get("feature_subset", estimator.getOrDefault("featureSubsetStrategy")),
-                "step_size": float(estimator.getOrDefault("stepSize")) if model == "boosted_trees" else None,
-                "subsample": float(estimator.getOrDefault("subsamplingRate")),
-                **{m: by_index[i][m] for m in METRICS},
-            }
-        )
-    return models, runs
+        done = pool.map(fit, list(enumerate(nested_groups(candidates, DEFAULT_TREES))), chunksize=1)
+    found = {i: pair for group in done for i, pair in group.items()}
+    ordered = [found[i] for i in range(len(candidates))]
+    return SavedModels([saved for saved, _ in ordered]), [run for _, run in ordered]
+
+
+class Folds:
+    """Rows cut into folds by a hash of their key, prepared and written once per fold for any number of candidates."""
+
+    def __init__(
+        self, df: DataFrame, features: Sequence[str], label: str, key: ColumnLike, model: str, folds: int, seed: int,
+        parallelism: int, scale: bool,
+    ):
+        self.label, self.model, self.seed, self.parallelism = label, model, seed, parallelism
+        ensure_checkpoint_dir(df.sparkSession)
+        rows = stage_table(_labelled(hash_folds(df, key, folds, seed), features, label, "fold"))
+        self.parts = []
+        for fold in range(folds):
+            mine, others = rows.where(F.col("fold") == fold), rows.where(F.col("fold") != fold)
+            preparation = Pipeline(stages=_preparation(features, scale)).fit(others)
+            self.parts.append(tuple(stage_table(_vectors(preparation, part, label)) for part in (others, mine)))
+
+    def rmse(self, candidates: Sequence[Mapping[str, Any]]) -> list[float]:
+        """Mean error of each candidate over the folds that have rows. Nested candidates share a fit per fold."""
+        def fit(task) -> dict[int, float]:
+            (train, test), (settings, sizes) = task
+            ensemble = BUILDERS[self.model](self.label, seed=self.seed, **settings).fit(train)
+            metrics = prefix_metrics(ensemble, sorted(set(sizes.values())), test, self.label)
+            return {i: metrics[n]["rmse"] for i, n in sizes.items() if n in metrics}
+
+        tasks = [(part, group) for group in nested_groups(candidates, DEFAULT_TREES) for part in self.parts]
+        with ThreadPool(min(self.parallelism, max(len(tasks), 1))) as pool:
+            done = pool.map(fit, tasks, chunksize=1)
+        errors: list[list[float]] = [[] for _ in candidates]
+        for found in done:
+            for i, error in found.items():
+                errors[i].append(error)
+        return [sum(e) / len(e) if e else float("nan") for e in errors]
+
+
+@dataclass(frozen=True)
+class Validated:
+    """Settings that were measured, their mean errors over the folds, the best of them and a model of it on all rows."""
+
+    candidates: list[dict[str, Any]]
+    avgMetrics: list[float]  # named as in Spark's own cross validation
+    best: dict[str, Any]
+    bestModel: PipelineModel
+
+
+def _best(candidates: Sequence[Mapping[str, Any]], errors: Sequence[float]) -> dict[str, Any]:
+    known = [(e, i) for i, e in enumerate(errors) if e == e]
+    if not known:
+        raise ValueError("no candidate could be measured")
+    return dict(candidates[min(known)[1]])
 
 
 def cross_validate(
@@ -222,23 +284,97 @@ def cross_validate(
     seed: int = 42,
     parallelism: int = 4,
     scale: bool = True,
-) -> CrossValidatorModel:
-    """K-fold search for the smallest RMSE with folds fixed by a hash of the key; holds the best pipeline refitted."""
-    estimator = BUILDERS[model](label, seed=seed)
-    pipeline = Pipeline(stages=[*_preparation(features, scale), estimator])
-    trees = estimator.numTrees if model == "random_forest" else estimator.maxIter
-    names = {
-        "num_trees": trees, "max_depth": estimator.maxDepth, "feature_subset": estimator.featureSubsetStrategy,
-        "step_size": getattr(estimator, "stepSize", None), "subsample": estimator.subsamplingRate,
-    }
-    maps = [
-        {names[k]: _subset(v) if k == "feature_subset" else v for k, v in settings.items()} for settings in candidates
-    ]
-    folded = _labelled(hash_folds(df, key, folds, seed), features, label, "fold")
-    return CrossValidator(
-        estimator=pipeline, estimatorParamMaps=maps, evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-        numFolds=folds, parallelism=parallelism, seed=seed, foldCol="fold",
-    ).fit(folded)
+) -> Validated:
+    """K-fold search for the smallest RMSE with folds fixed by a hash of the key; holds the best settings refitted."""
+    errors = Folds(df, features, label, key, model, folds, seed, parallelism, scale).rmse(candidates)
+    best = _best(candidates, errors)
+    refitted = _fit(BUILDERS[model](label, seed=seed, **best), df, features, label, scale)
+    return Validated([dict(c) for c in candidates], errors, best, refitted)
+
+
+def parzen_points(
+    space: Mapping[str, Sequence[Any]], tried: Sequence[tuple[Mapping[str, Any], float]], n: int, rng: random.Random,
+    good: float = 0.25, draws: int = 64,
+) -> list[dict[str, Any]]:
+    """Up to ``n`` untried points of a search space, chosen by a tree of Parzen estimators.
+
+    The best quarter of the tried points and the rest each give a density per dimension: every point weighs its own value
+    fully and neighbours in the listed order by halves, over a flat prior. Points are drawn from the first density and
+    ranked by the ratio of both; untried points drawn at random fill up what is missing.
+    """
+    def name(point: Mapping[str, Any]) -> tuple:
+        return tuple(point[k] for k in space)
+
+    seen = {name(p) for p, _ in tried}
+    ranked = sorted((t for t in tried if t[1] == t[1]), key=lambda t: t[1])
+    n_good = max(1, round(good * len(ranked)))
+
+    def density(points: Sequence[Mapping[str, Any]]) -> dict[str, list[float]]:
+        out = {}
+        for k, values in space.items():
+            places = [list(values).index(p[k]) for p in points]
+            weights = [1.0 + sum(0.5 ** abs(i - j) for j in places) for i in range(len(values))]
+            out[k] = [w / sum(weights) for w in weights]
+        return out
+
+    chosen: dict[tuple, dict[str, Any]] = {}
+    if ranked:
+        inner, outer = density([p for p, _ in ranked[:n_good]]), density([p for p, _ in ranked[n_good:]])
+        drawn = {}
+        for _ in range(draws):
+            at = {k: rng.choices(range(len(values)), inner[k])[0] for k, values in space.items()}
+            point = {k: space[k][i] for k, i in at.items()}
+            drawn[name(point)] = (prod(inner[k][i] / outer[k][i] for k, i in at.items()), point)
+        for who, (_, point) in sorted(drawn.items(), key=lambda d: -d[1][0]):
+            if who not in seen and len(chosen) < n:
+                chosen[who] = point
+    if len(chosen) < n:
+        rest = [p for p in expand_grid(space) if name(p) not in seen and name(p) not in chosen]
+        for point in rng.sample(rest, min(n - len(chosen), len(rest))):
+            chosen[name(point)] = point
+    return list(chosen.values())
+
+
+def sequential_search(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    space: Mapping[str, Sequence[Any]],
+    key: ColumnLike,
+    points: int = 32,
+    model: str = "boosted_trees",
+    folds: int = 5,
+    seed: int = 99,
+    parallelism: int = 4,
+    scale: bool = True,
+    startup: int = 5,
+) -> Validated:
+    """Model-based search: batches of ``parallelism`` points, each chosen by what all earlier ones showed.
+
+    The first ``startup`` points are drawn at random. Every point is validated over the same folds; the smaller numbers
+    of trees of the space come along as the first trees of its fit and count as tried, but not towards ``points``. Ends
+    after ``points`` points or when the space is exhausted. The same seed tries the same points.
+    """
+    rng = random.Random(seed)
+    prepared = Folds(df, features, label, key, model, folds, seed, parallelism, scale)
+    tried: list[tuple[dict[str, Any], float]] = []
+    asked = 0
+    while asked < points:
+        batch = parzen_points(space, tried, min(parallelism if tried else startup, points - asked), rng)
+        if not batch:
+            break
+        asked += len(batch)
+        known = [p for p, _ in tried]
+        measured: list[dict[str, Any]] = []
+        for point in batch:
+            sizes = [n for n in space.get("num_trees", ()) if n <= point["num_trees"]]
+            for more in [{**point, "num_trees": n} for n in sizes] or [point]:
+                if more not in known and more not in measured:
+                    measured.append(more)
+        tried += list(zip(measured, prepared.rmse(measured), strict=True))
+    best = _best([p for p, _ in tried], [e for _, e in tried])
+    refitted = _fit(BUILDERS[model](label, seed=seed, **best), df, features, label, scale)
+    return Validated([p for p, _ in tried], [e for _, e in tried], best, refitted)
 
 
 def runs_table(spark: SparkSession, runs: Sequence[Mapping[str, Any]]) -> DataFrame:

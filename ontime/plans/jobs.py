@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from ontime.operators import models, quality
 from ontime.operators.aggregates import hourly_weather
-from ontime.operators.filters import filter_dates, filter_endpoint, filter_not_cancelled, filter_not_null
+from ontime.operators.ensembles import SavedModels
+from ontime.operators.filters import drop_any_null, filter_dates, filter_endpoint, filter_not_cancelled, filter_not_null
 from ontime.params import RunParams
 from ontime.plans.board import arrival_board, departure_board
 from ontime.plans.enriched import enriched_flights, serving_split, validation_ranges, weather_for
 from ontime.plans.silver import silver_flights
-from ontime.schema import ARRIVAL_FEATURES, DEPARTURE_FEATURES, PREDICTION_IDS
+from ontime.schema import ARRIVAL_FEATURES, DEPARTURE_FEATURES, FEATURE_SETS, PREDICTION_IDS
 from ontime.sources.sinks import publish_predictions, publish_table, stage_table
 
 TARGETS = {"arr": ("arr_delay", ARRIVAL_FEATURES), "dep": ("dep_delay", DEPARTURE_FEATURES)}
@@ -52,17 +53,27 @@ class Trained:
 
 def model_job(
     enriched: DataFrame, params: RunParams, target: str, candidates: Mapping[str, Sequence[Mapping[str, Any]]],
-    model_dir: str, runs_path: str, key: str = "flight_id",
+    model_dir: str, runs_path: str, key: str = "flight_id", features: str | Sequence[str] | None = None,
+    missing: str = "zero",
 ) -> Trained:
-    """Search over ``candidates`` (settings per model kind) for one target, log every run, save the best model."""
-    label, features = TARGETS[target]
+    """Search over ``candidates`` (settings per model kind) for one target, log every run, save the best model.
+
+    ``features``: columns, or the name of a list in ``FEATURE_SETS``; by default the target's own list. ``missing``:
+    "zero" counts a missing or non-number feature as 0, "drop" leaves out the rows that have one.
+    """
+    label, own = TARGETS[target]
+    features = FEATURE_SETS[features] if isinstance(features, str) else tuple(features or own)
+    if missing not in ("zero", "drop"):
+        raise ValueError(f"missing is 'zero' or 'drop', not {missing!r}")
     known, _ = serving_split(enriched, params)
+    if missing == "drop":
+        known = drop_any_null(known, (*features, label))
     staged = stage_table(known.select(*dict.fromkeys((key, *features, label))))
     train, test = models.split_train_test(staged, key)
-    fitted, runs = [], []
+    fitted, runs = SavedModels(), []
     for kind, settings in candidates.items():
         more_models, more_runs = models.grid_search(train, test, features, label, settings, kind, params.airport)
-        fitted += more_models
+        fitted = fitted + more_models
         runs += more_runs
     spark = enriched.sparkSession
     log = models.log_runs(spark, runs, runs_path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ontime.operators import models as m
 from ontime.operators.aggregates import regression_metrics
+from ontime.operators.ensembles import first_trees
 from ontime.sources import sinks
 
 FEATURES = ["a", "b", "c"]
@@ -143,3 +144,106 @@ def test_registered_fits_have_the_sizes_of_the_reference(spark, monkeypatch, nam
     size = seen[0].getOrDefault("numTrees" if step is None else "maxIter")
     assert (size, seen[0].getOrDefault("maxDepth")) == (trees, depth)
     assert step is None or seen[0].getOrDefault("stepSize") == step
+
+
+def test_first_trees_equal_the_smaller_model(parts):
+    """Of boosting the smaller fit itself; of a forest the mean of the same trees."""
+    train, test = parts
+    for subset in ("auto", "0.5"):
+        large = m.fit_boosted_trees(train, FEATURES, "y", 7, 3, subset)
+        small = m.fit_boosted_trees(train, FEATURES, "y", 3, 3, subset)
+        cut = PipelineModel([*large.stages[:-1], first_trees(large.stages[-1], 3)])
+        assert cut.stages[-1].getNumTrees == 3 and large.stages[-1].getNumTrees == 7
+        assert _predicted(cut, test) == _predicted(small, test) != _predicted(large, test)
+    forest = m.fit_random_forest(train, FEATURES, "y", 6, 4)
+    cut = PipelineModel([*forest.stages[:-1], first_trees(forest.stages[-1], 4)])
+    vectors = PipelineModel(forest.stages[:-1]).transform(test).select("id", "features")
+    trees = [dict(vectors.select("id", "features").rdd.map(lambda r: r["id"]).zip(t.transform(vectors).select("prediction").rdd.map(lambda r: r[0])).collect()) for t in cut.stages[-1].trees]
+    assert len(trees) == 4
+    for i, value in _predicted(cut, test).items():
+        assert value == pytest.approx(sum(t[i] for t in trees) / 4)
+    with pytest.raises(ValueError, match="7 of 6 trees"):
+        first_trees(forest.stages[-1], 7)
+
+
+def _predicted(model, df):
+    return {r["id"]: r["prediction"] for r in m.predict(model, df).collect()}
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "boosted_trees"])
+def test_nested_candidates_share_a_fit(spark, parts, monkeypatch, kind):
+    train, test = parts
+    sizes = []
+    build = m.BUILDERS[kind]
+    monkeypatch.setitem(m.BUILDERS, kind, lambda *a, **b: sizes.append(b["num_trees"]) or build(*a, **b))
+    candidates = m.expand_grid({"num_trees": (2, 6, 4), "max_depth": (2, 3)})
+    fitted, runs = m.grid_search(train, test, FEATURES, "y", candidates, kind)
+    assert sizes == [6, 6] and len(fitted) == len(runs) == 6
+    assert [(r["num_trees"], r["max_depth"]) for r in runs] == [(c["num_trees"], c["max_depth"]) for c in candidates]
+    for i in (0, 3, 4):
+        assert fitted[i].stages[-1].getNumTrees == candidates[i]["num_trees"]
+        assert rmse(fitted[i], test) == pytest.approx(runs[i]["rmse"])
+    assert m.runs_table(spark, runs).select("run_id").distinct().count() == 6
+    assert len(fitted + fitted[:2]) == 8
+
+
+def test_parzen_points_go_where_errors_are_small():
+    space = {"num_trees": tuple(range(20)), "max_depth": (1, 2, 3, 4)}
+    rng = random.Random(4)
+
+    def error(p):
+        return (p["num_trees"] - 15) ** 2 + 10 * (p["max_depth"] - 3) ** 2
+
+    tried = [(p, error(p)) for p in m.parzen_points(space, [], 8, rng)]
+    assert len(tried) == 8
+    while len(tried) < 32:
+        tried += [(p, error(p)) for p in m.parzen_points(space, tried, 4, rng)]
+    assert len({tuple(p.items()) for p, _ in tried}) == len(tried)
+    later = [e for _, e in tried[16:]]
+    assert sum(later) / len(later) < sum(e for _, e in tried[:8]) / 8 and min(e for _, e in tried) <= 5
+    everything = [(p, float("nan")) for p in m.expand_grid(space)]
+    assert m.parzen_points(space, everything, 3, rng) == []
+    assert len(m.parzen_points(space, everything[:-2], 5, rng)) == 2
+
+
+def test_sequential_search_repeats_and_is_no_worse_than_the_whole_grid(parts):
+    space = {"num_trees": (1, 2, 4), "max_depth": (1, 2, 3)}
+    some = m.sequential_search(parts[0], FEATURES, "y", space, "id", 32, folds=2, startup=2, parallelism=2)
+    again = m.sequential_search(parts[0], FEATURES, "y", space, "id", 32, folds=2, startup=2, parallelism=2)
+    assert some.candidates == again.candidates and some.best == again.best
+    assert some.avgMetrics == pytest.approx(again.avgMetrics)
+    whole = m.cross_validate(parts[0], FEATURES, "y", m.expand_grid(space), "id", folds=2, seed=99)
+    assert min(some.avgMetrics) == pytest.approx(min(whole.avgMetrics)) and some.best == whole.best
+    assert some.bestModel.stages[-1].getNumTrees == some.best["num_trees"]
+    one = m.sequential_search(parts[0], FEATURES, "y", space, "id", 1, folds=2)
+    assert len({c["max_depth"] for c in one.candidates}) == 1
+
+
+def test_model_job_takes_feature_lists_and_drops_incomplete_rows(spark, monkeypatch):
+    from ontime.catalog import inputs
+    from ontime.catalog.registry import PARAMS
+    from ontime.plans import jobs
+    from ontime.schema import SCHEDULE_FEATURES
+
+    enriched = inputs.enriched(spark, "/root/testdata/sf0.001")
+    hole = F.when(F.col("flight_id") % 3 != 0, F.col("distance"))
+    enriched = sinks.stage_table(enriched.withColumn("distance", hole))
+    seen = {}
+    search = m.grid_search
+
+    def spy(train, test, features, label, *rest):
+        seen["features"], seen["rows"] = tuple(features), train.unionByName(test)
+        return search(train, test, features, label, *rest)
+
+    monkeypatch.setattr(m, "grid_search", spy)
+    folder = sinks.stage_path(spark, "job")
+    sizes = [{"num_trees": n, "max_depth": 2} for n in (1, 2)]
+    trained = jobs.model_job(enriched, PARAMS, "arr", {"random_forest": sizes}, folder, f"{folder}/runs", features="schedule", missing="drop")
+    assert seen["features"] == SCHEDULE_FEATURES and trained.runs.count() == 2
+    kept = seen["rows"]
+    assert kept.count() > 0 and kept.where("flight_id % 3 = 0").count() == 0
+    assert kept.dropna(subset=[*SCHEDULE_FEATURES, "arr_delay"]).count() == kept.count()
+    jobs.model_job(enriched, PARAMS, "dep", {"random_forest": sizes[:1]}, folder, f"{folder}/runs", features=("distance",))
+    assert seen["features"] == ("distance",) and seen["rows"].where("distance is null").count() > 0
+    with pytest.raises(ValueError, match="missing is"):
+        jobs.model_job(enriched, PARAMS, "arr", {}, folder, folder, missing="mean")

@@ -18,7 +18,7 @@ from ontime.sources.fixtures import flights_v, weather_v
 # Checked against a brute-force or behavioural test elsewhere in this folder.
 ROWS_ONLY = {
     "sample_rows", "fit_random_forest", "fit_random_forest_departure", "fit_boosted_trees", "fit_boosted_trees_sub",
-    "grid_search", "cross_validate", "log_runs", "select_and_save", "score", "compare_models", "staged_error",
+    "grid_search", "cross_validate", "sequential_search", "log_runs", "select_and_save", "score", "compare_models", "staged_error",
     "run_to_boards", "monitoring_job", "monitoring_job_weather",
 }
 
