@@ -14,7 +14,7 @@ from ontime.catalog.registry import (
 )
 from ontime.functions import columns as c
 from ontime.operators import aggregates as agg
-from ontime.operators import filters, graph, quality
+from ontime.operators import drift, filters, graph, quality
 from ontime.operators.models import best_run
 from ontime.operators.projections import fill_nulls
 from ontime.params import run_params
@@ -718,6 +718,57 @@ def _(spark, sf_dir):
     return rounded(_all_drift(spark, sf_dir), ["ks", "l_infinity", "js"])
 
 
+CODES = ("origin_airport_id", "dest_airport_id", "distance_group")
+VALUE_COLUMNS = tuple(n for n, kind in ALL_COLUMNS.items() if kind == "string" or n in CODES)
+
+
+def _value_counts_sql(columns, kind: str) -> str:
+    known = "and not isnan(cast({x} as double))" if kind == "double" else ""
+    return " union all ".join(
+        f"select '{x}' as column_name, cast({x} as {kind}) as v, sum(s) as n_serve, sum(1 - s) as n_train from both_v "
+        f"where {x} is not null {known.format(x=x)} group by 2" for x in columns
+    )
+
+
+def _unbinned_ctes(columns, kind: str) -> list[str]:
+    return [
+        _TRAIN_CTE, _SERVE_CTE, "both_v as (select *, 1 as s from serve_v union all select *, 0 as s from train_v)",
+        f"counts_v as ({_value_counts_sql(columns, kind)})",
+        "shares_v as (select *, cast(n_serve as double) / nullif(sum(n_serve) over (partition by column_name), 0) as p, "
+        "cast(n_train as double) / nullif(sum(n_train) over (partition by column_name), 0) as q from counts_v)",
+    ]
+
+
+@query(
+    "value_drift",
+    with_flights(
+        "select column_name, count(*) as n_values, count(*) filter (where n_train = 0) as n_new, "
+        "round(max(abs(p - q)), 6) as l_infinity, "
+        "first(v order by -round(abs(p - q), 12), v) filter (where abs(p - q) is not null) as worst_value, "
+        "case when max(abs(p - q)) is not null then "
+        "round(sum(case when p > 0 then p * log2(p / ((p + q) / 2)) / 2 else 0 end "
+        "+ case when q > 0 then q * log2(q / ((p + q) / 2)) / 2 else 0 end), 6) end as js from shares_v group by 1",
+        *_unbinned_ctes(VALUE_COLUMNS, "varchar"),
+    ),
+)
+def _(spark, sf_dir):
+    train, serve = _all_ranges(spark, sf_dir)
+    return rounded(drift.value_drift(serve, train, VALUE_COLUMNS), ["l_infinity", "js"])
+
+
+@query(
+    "exact_ks",
+    with_flights(
+        "select column_name, round(max(gap), 6) as ks from (select column_name, abs(sum(p) over w - sum(q) over w) as gap "
+        "from shares_v window w as (partition by column_name order by v rows between unbounded preceding and current row)) "
+        "group by 1", *_unbinned_ctes(ALL_NUMBERS, "double"),
+    ),
+)
+def _(spark, sf_dir):
+    train, serve = _all_ranges(spark, sf_dir)
+    return rounded(drift.exact_ks(serve, train, ALL_NUMBERS), ["ks"])
+
+
 @query(
     "retrain_signal_all",
     with_flights(

@@ -3,9 +3,12 @@
 import random
 import statistics
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
+from ontime.operators import drift
 from ontime.operators import quality as q
 
 
@@ -141,3 +144,39 @@ def test_domains_have_no_limit_and_names_are_case_blind(spark):
     assert q.infer_expectations(profile, open_columns=["tail_num"]).where("has_domain").count() == 0
     found = q.validate_profile(q.column_profile(serve, median=None), q.environment_rules(rules), unseen)
     assert [r["anomaly"] for r in found.collect()] == ["unseen_category"]
+
+
+def _shares(values):
+    known = [v for v in values if v is not None and v == v]
+    return {v: known.count(v) / len(known) for v in set(known)}
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_unbinned_drift_against_plain_counts(spark, partitions):
+    nan = float("nan")
+    serve = [(i % 7 / 2, "abcd"[i % 4], i % 3) for i in range(60)] + [(nan, None, None), (100.0, "new", 9)]
+    train = [(i % 5 / 2 - 0.5, "abc"[i % 3], i % 2) for i in range(45)] + [(None, "", 1)]
+    schema = "x double, s string, k int, p double, c int"
+    frames = [spark.createDataFrame([(*r, 0.0, 1) for r in rows], schema).repartition(3) for rows in (serve, train)]
+    ks = {r["column_name"]: r["ks"] for r in drift.exact_ks(*frames, ["x", "k"], partitions).collect()}
+    for name, place in (("x", 0), ("k", 2)):
+        p, q = (_shares([r[place] for r in rows]) for rows in (serve, train))
+        gaps = [abs(sum(s for v, s in p.items() if v <= x) - sum(s for v, s in q.items() if v <= x)) for x in {*p, *q}]
+        assert ks[name] == pytest.approx(max(gaps))
+    values = by_name(drift.value_drift(*frames, ["s", "k"]))
+    for name, place in (("s", 1), ("k", 2)):
+        p, q = (_shares([r[place] for r in rows]) for rows in (serve, train))
+        both = {str(v): (p.get(v, 0.0), q.get(v, 0.0)) for v in {*p, *q}}
+        worst = min(both, key=lambda v: (-round(abs(both[v][0] - both[v][1]), 12), v))
+        js = sum(s / 2 * math.log2(s / ((a + b) / 2)) for a, b in both.values() for s in (a, b) if s)
+        row = values[name]
+        assert (row["n_values"], row["n_new"], row["worst_value"]) == (len(both), len(set(p) - set(q)), worst)
+        assert row["l_infinity"] == pytest.approx(max(abs(a - b) for a, b in both.values())) and row["js"] == pytest.approx(js)
+
+
+def test_unbinned_drift_of_a_side_without_values(spark, table):
+    empty = table.where("false")
+    assert {(r["l_infinity"], r["js"], r["worst_value"]) for r in drift.value_drift(empty, table).collect()} == {(None, None, None)}
+    assert {r["ks"] for r in drift.exact_ks(table, empty, ["x"]).collect()} == {None}
+    assert drift.value_drift(empty, empty, ["x"]).count() == 0 and drift.exact_ks(empty, empty, ["x"]).count() == 0
+    assert {r["js"] for r in drift.value_drift(table, table).collect()} == {0.0}
