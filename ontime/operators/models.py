@@ -82,7 +82,8 @@ def _vectors(preparation: PipelineModel, rows: DataFrame, label: str) -> DataFra
     """The prepared rows, over at least as many partitions as there are task slots: trees are grown by scans of them."""
     vectors = preparation.transform(rows).select("features", label)
     slots = rows.sparkSession.sparkContext.defaultParallelism
-    return vectors.repartition(slots) if vectors.rdd.getNumPartitions() < slots else vectors
+    used = rows.select(F.spark_partition_id().alias("_part")).distinct().count()
+    return vectors.repartition(slots) if used < slots else vectors
 
 
 def _fit(estimator, df: DataFrame, features: Sequence[str], label: str, scale: bool) -> PipelineModel:
