@@ -26,18 +26,21 @@ SAMPLE_CHARS = 50_000
 LEAST_BYTES = 1000
 LEVEL = 6
 FILE_BYTES = 1 << 27
+READ_TASKS = 10_000  # at most, for any number of archives
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
 
 def build_dictionary(pages: DataFrame, html: str = "html") -> bytes:
-    """A dictionary of at most ``DICTIONARY_BYTES`` from at most ``SAMPLE_RECORDS`` payloads of at most ``SAMPLE_CHARS``
-    characters each, the ones with the smallest hashes; empty when there are too few to train on.
+    """A dictionary of at most ``DICTIONARY_BYTES`` from at most ``SAMPLE_RECORDS`` different payloads of at most
+    ``SAMPLE_CHARS`` characters each, the ones with the smallest hashes; empty when there are too few to train on.
 
-    Only the dictionary depends on the sample: records hold whole payloads.
+    Hashes are chosen first, so that no task sends payloads that are not wanted. Only the dictionary depends on the
+    sample: records hold whole payloads.
     """
-    usable = pages.where(F.length(html).between(1, SAMPLE_CHARS))
-    chosen = usable.select(html).orderBy(F.xxhash64(html), html).limit(SAMPLE_RECORDS)
-    samples = [r[0].encode() for r in chosen.collect()]  # bounded by the two limits
+    usable = pages.where(F.length(html).between(1, SAMPLE_CHARS)).select(F.xxhash64(html).alias("_h"), F.col(html).alias("_payload"))
+    hashes = [r["_h"] for r in usable.select("_h").distinct().orderBy("_h").limit(SAMPLE_RECORDS).collect()]
+    wanted = usable.where(F.col("_h").isin(hashes)).groupBy("_h").agg(F.min("_payload").alias("_payload"))
+    samples = [r["_payload"].encode() for r in wanted.orderBy("_h").collect()]  # bounded by the two limits
     if sum(map(len, samples)) < 4 * DICTIONARY_BYTES:
         return b""
     try:
@@ -221,7 +224,8 @@ def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
                     yield _as_batch(rows, names, types, with_payload)
 
     paths = archives.select("path")
-    spread = paths.repartition(F.col("path"))  # one file or a few per task
+    n = min(max(archives.count(), 1), READ_TASKS)
+    spread = paths.repartition(n, "path")  # a number of its own: by their few bytes the paths would all go to one task
     return spread.mapInArrow(read, kinds + (", payload binary" if with_payload else ""))
 
 

@@ -386,3 +386,16 @@ def test_classifiers_without_labels_and_with_odd_rows(spark, labels, score):
     got = score(docs(spark), marks).collect()
     assert len(got) == len(ROWS) and all(0 <= r["score"] <= 1 for r in got)
     assert score(docs(spark, []), marks).count() == 0
+
+
+def test_archives_are_read_by_several_tasks(spark):
+    rows = [(i, f"http://a/{i}", f"<p>page {i % 40}</p>" * 100) for i in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(12)
+    archives = warc.write_archives(pages, fresh_folder(spark, "warc-test"))
+    read = warc.read_archives(archives)
+    assert archives.count() > 1 and read.count() == 120
+    if archives.count() > 2:
+        assert read.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert read.where("record_type = 'response'").count() == 40
+    hot = spark.createDataFrame([(i, "u", "x" * 9 if i else "y" * 9) for i in range(2000)], pages.schema)
+    assert warc.build_dictionary(hot) == b""
