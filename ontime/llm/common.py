@@ -22,6 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 BATCH_ROWS = 512
+PIECES = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,19 @@ def _file_name(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+def packed(df: DataFrame, **extra: Column) -> DataFrame:
+    """Every row of ``df`` as one struct ``row`` beside the ``extra`` columns, whose names then clash with none."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in extra.items()])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def fold(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``."""
     return F.crc32(F.encode(key.cast("string"), "UTF-8")) % modulus
@@ -66,15 +80,23 @@ def training_sample(
     documents: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int, max_chars: int,
 ) -> DataFrame:
     """Labelled texts (text, y) to fit a model on: at most ``per_class`` rows of each class, chosen by the hash of their
-    doc_id, and only texts of at most ``max_chars`` characters, so that what reaches the driver is bounded.
+    doc_id. Of texts of more than ``max_chars`` characters, ``PIECES`` pieces of as many in all are learned from, spread
+    evenly from the start to the end, so that what reaches the driver is bounded and no label is lost.
     Rows that ``usable`` excludes, null texts and null labels are left out. Conflicting labels of one doc_id: the larger.
     """
+    size = max(max_chars // PIECES, 1)
+    gap = (F.length("text") - size) / (PIECES - 1)
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.lit(PIECES - 1)),
+        lambda i: F.substr(F.col("text"), F.floor(i * gap).cast("int") + 1, F.lit(size)),
+    )
+    short = F.when(F.length("text") <= max_chars, F.col("text")).otherwise(F.array_join(pieces, " "))
     marks = labels.where(usable & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    texts = documents.select("doc_id", "text").where(usable & (F.length("text") <= max_chars))
+    texts = documents.select("doc_id", "text").where(usable & F.col("text").isNotNull())
     order = (F.xxhash64(F.lit("sample"), "doc_id"), "doc_id")
     chosen = [marks.where(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     wanted = stage(chosen[0].unionByName(chosen[1]), "sample-ids")
-    found = texts.join(wanted, "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"))
+    found = texts.join(wanted, "doc_id").select("doc_id", short.alias("text"), F.col("y").cast("int").alias("y"))
     # the text takes part in the order so that repeated doc_ids cannot change the sample from run to run
     return found.orderBy(F.xxhash64(F.lit("order"), "doc_id"), "doc_id", F.xxhash64("text")).limit(2 * per_class)
 

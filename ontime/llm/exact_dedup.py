@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import SPACE, stage
+from ontime.llm.common import SPACE, packed, stage
 
 FAN_IN = 8
 _TEXT = ("_digest", "_length", "_check")
@@ -71,11 +71,12 @@ def exact_groups(documents: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
 
 def drop_copies(documents: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """The rows of ``documents`` that stay, all columns; of rows that repeat a doc_id within a group, one stays."""
+    """The rows of ``documents`` that stay, all columns, whatever their names; of rows that repeat a doc_id within a
+    group, one stays."""
     groups = exact_groups(documents, fan_in).where("kept")
     chosen = groups.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACE, " ")
     # Identifiers are unique in a clean table; the digest tells rows apart that share one by mistake.
-    marked = documents.withColumn("_own", F.sha2(text, 256))
-    joined = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["_id"]) & (marked["_own"] == chosen["_sha"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_own"]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    marked = packed(documents, doc_id=F.col("doc_id"), own=F.sha2(text, 256))
+    joined = marked.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_sha")), "left_semi")
+    return joined.dropDuplicates(["doc_id", "own"]).select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime.llm.common import WORD, stage
+from ontime.llm.common import WORD, packed, stage
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -15,6 +15,7 @@ CAP = 2
 ROUNDS = 60
 TOLERANCE = 1e-9
 SLICE_ROWS = 512
+BLOCK_ROWS = 1024
 OFFSETS = 32
 
 
@@ -114,12 +115,13 @@ def entropy_mix(
     """Copies of every document so that the words of each source come to its target.
 
     Size is the number of words (null text: 0). Returns doc_id, size, source_size, target, taken (words taken, repeats
-    counted), copies and row_id, one row per row of ``documents``.
+    counted), copies and text_key (a hash of the text), one row per row of ``documents``.
 
     Rounding: along each source's cells in order of size, the running sum of rates is rounded, so that the words taken
     differ from the target by at most about one document of the largest size, and by much less after the best of
     ``OFFSETS`` fixed offsets is taken; a cell's copies are dealt evenly, the odd ones to the smallest hashes. Cells with many documents are dealt in slices of about ``SLICE_ROWS`` rows by hash: no
-    group is ever larger, whatever the sources are.
+    group is ever larger, whatever the sources are. Only values decide, so the mix does not depend on the order or the
+    partitions of ``documents``: rows that agree in doc_id, source and text are counted first and dealt as one entry.
 
     Null sources form one source, last in order. Documents without words take nothing. Rows that repeat a doc_id are
     separate documents. An empty table gives an empty result; other columns are ignored.
@@ -130,11 +132,12 @@ def entropy_mix(
             F.col("source").alias("_source"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_size"),
             F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"),
-            F.monotonically_increasing_id().alias("row_id"),
-        ),
+        )
+        .groupBy("doc_id", "_source", "_size", "text_key")
+        .agg(F.count(F.lit(1)).alias("_rows")),
         "sizes",
     )
-    cells = stage(rows.groupBy("_source", "_size").agg(F.count(F.lit(1)).alias("_n")), "cells")
+    cells = stage(rows.groupBy("_source", "_size").agg(F.sum("_rows").alias("_n")), "cells")
     sizes = cells.groupBy("_source").agg(F.sum(F.col("_n") * F.col("_size")).alias("source_size"))
     targets = stage(source_targets(sizes, weights, share, cap), "targets")
     rates = balanced_rates(cells, targets, cap)
@@ -166,17 +169,22 @@ def entropy_mix(
         "plan",
     )
     placed = rows.join(plan, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    sliced = placed.withColumn("_slice", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "row_id"), F.col("_slices")))
+    order = F.xxhash64(F.lit(seed), "doc_id", "text_key")
+    sliced = placed.withColumn("_slice", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text_key"), F.col("_slices")))
     group = ["_s", "_size", "_slice"]
     spread = sliced.repartition(*group)  # a cell's slices part here, whatever the join was dealt by
     within = Window.partitionBy(*group)
-    here = F.col("_odd") * F.count(F.lit(1)).over(within)
+    here = F.col("_odd") * F.sum("_rows").over(within)
     chance = F.pmod(F.xxhash64(F.lit(seed + 2), *group), F.lit(1 << 30)) / float(1 << 30)
     quota = F.floor(here / F.col("_n")) + (chance < (here % F.col("_n")) / F.col("_n")).cast("long")
-    rank = F.row_number().over(within.orderBy(order, "doc_id", "row_id"))
-    copies = F.col("_each") + (rank <= quota).cast("long")
-    return spread.select("*", copies.alias("copies")).select(
+    upto = F.sum("_rows").over(within.orderBy(order, "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, 0))
+    first = F.col("_rows") - F.greatest(F.least(upto - quota, F.col("_rows")), F.lit(0))  # so many rows take one more
+    # equal rows come apart again in blocks, so that no long array is ever held
+    blocks = spread.select("*", first.alias("_first")).select("*", F.explode(F.sequence(F.lit(1), "_rows", F.lit(BLOCK_ROWS))).alias("_block"))
+    last = F.least(F.col("_rows"), F.col("_block") + F.lit(BLOCK_ROWS - 1))
+    single = blocks.select("*", F.explode(F.sequence("_block", last)).alias("_number"))
+    copies = F.col("_each") + (F.col("_number") <= F.col("_first")).cast("long")
+    return single.select("*", copies.alias("copies")).select(
         "doc_id",
         F.col("_size").alias("size"),
         "source_size",
@@ -184,20 +192,17 @@ def entropy_mix(
         (F.col("copies") * F.col("_size")).alias("taken"),
         "copies",
         "text_key",
-        "row_id",
     )
 
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     """The rows of ``documents`` as often as ``entropy_mix`` takes them, all columns.
 
-    Rows that repeat a doc_id and a text take the sum of their copies.
+    Rows that repeat a doc_id and a text take the sum of their copies. Columns may have any names.
     """
     text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     copies = entropy_mix(documents.select("doc_id", "source", "text"), **options).where("copies > 0")
     taken = copies.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.sum("copies").alias("_copies"))
-    single = documents.withColumn("_own", text_key).dropDuplicates(["doc_id", "_own"])
-    joined = single.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")))
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return repeated.select(*columns)
+    single = packed(documents, doc_id=F.col("doc_id"), own=text_key).dropDuplicates(["doc_id", "own"])
+    joined = single.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_key")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("row.*")

@@ -58,7 +58,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entropy_mix(table(spark, sf_dir, "documents")).drop("copies", "text_key", "row_id")
+    return entropy_mix(table(spark, sf_dir, "documents")).drop("copies", "text_key")
 
 
 def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

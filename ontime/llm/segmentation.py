@@ -122,7 +122,7 @@ class Lattices:
 
     ``edge`` and ``log`` hold piece and log-probability by position and length (-2 - c: character c in bytes); ``beta`` the
     log of the summed probabilities of all ways from a position to the unit's end; ``upto`` the running shares of the
-    lengths in that sum.
+    lengths in that sum; ``several`` whether a position has more than one piece.
     """
 
     unit_of_doc: np.ndarray
@@ -131,6 +131,13 @@ class Lattices:
     log: np.ndarray
     beta: np.ndarray
     upto: np.ndarray
+    several: np.ndarray
+
+    def shares(self, place: np.ndarray) -> np.ndarray:
+        """The share of every length at the given positions, also where it is too small for ``upto``."""
+        after = np.minimum(place[:, None] + np.arange(1, self.log.shape[1] + 1), len(self.beta) - 1)
+        ways = np.where(self.edge[place] != -1, self.log[place].astype(np.float64) + self.beta[after], -np.inf)
+        return np.exp(ways - self.beta[place][:, None])
 
 
 def build_lattices(texts: Sequence[str], words: Vocabulary) -> Lattices:
@@ -195,7 +202,7 @@ def build_lattices(texts: Sequence[str], words: Vocabulary) -> Lattices:
         running[np.arange(k) >= last[:, None]] = 1.0  # whatever the rounding, no length without a piece is drawn
         upto[place, :k] = running
     docs = np.searchsorted(begins, borders)
-    return Lattices(docs, offsets[:-1][which], edge, log, beta, upto)
+    return Lattices(docs, offsets[:-1][which], edge, log, beta, upto, (edge != -1).sum(axis=1) > 1)
 
 
 def _n_bytes(points: np.ndarray) -> np.ndarray:
@@ -263,9 +270,15 @@ def _finish(lattices: Lattices, rows, first, unit, place, length, open_from, bor
     before = running[:-1] - running[first[:-1]][doc]
     index = np.arange(len(doc)) - first[:-1][doc]
     # beyond this depth a set's bound is e**60 times later than that of the set it was split from: it is never the best
-    likely = np.flatnonzero((before > -60.0) & (index >= open_from[doc]) & (log_q < -1e-6))
+    likely = np.flatnonzero((before > -60.0) & (index >= open_from[doc]) & lattices.several[place])
     mass, arrival = np.zeros(len(doc)), np.full(len(doc), np.inf)
-    mass[likely] = np.exp(before[likely]) * -np.expm1(log_q[likely])
+    other = -np.expm1(log_q[likely])
+    near = np.flatnonzero(other < 1e-4)  # the difference to 1 is rounded here: the other pieces are summed
+    spot = likely[near]
+    rest = lattices.shares(place[spot])
+    rest[np.arange(len(spot)), length[spot] - 1] = 0.0
+    other[near] = rest.sum(axis=1)
+    mass[likely] = np.exp(before[likely]) * other
     wait = -np.log(_uniform(keys[doc[likely]], salt + 1, index[likely]))
     arrival[likely] = born[doc[likely]] + wait / mass[likely]
     taken = (1 << (length - 1)).astype(np.int64)
@@ -338,15 +351,14 @@ def _leave(lattices: Lattices, paths: list[Path], live, when, which, where, keys
         spot = path.first[own] + where[mine]
         place = path.place[spot]
         width = lattices.upto.shape[1]
-        shares = np.diff(np.concatenate((np.zeros((len(mine), 1)), lattices.upto[place].astype(np.float64)), axis=1), axis=1)
-        free = (path.taken[spot][:, None] >> np.arange(width)) & 1 == 0
-        shares *= free & (lattices.edge[place] != -1)
+        shares = lattices.shares(place)
+        shares *= (path.taken[spot][:, None] >> np.arange(width)) & 1 == 0
         running = np.cumsum(shares, axis=1)
         u = _uniform(keys[live[mine]], salt, where[mine]) * running[:, -1]
         length = 1 + np.minimum((u[:, None] >= running).sum(axis=1), width - 1)
-        picked = shares[np.arange(len(mine)), length - 1] / np.maximum(running[:, -1], 1e-300)
+        shares[np.arange(len(mine)), length - 1] = 0.0  # what is left is exactly 0 when no length is
         path.taken[spot] |= 1 << (length - 1)
-        path.mass[spot] *= np.where(picked > 1 - 1e-12, 0.0, 1 - picked)
+        path.mass[spot] *= shares.sum(axis=1) / np.maximum(running[:, -1], 1e-300)
         wait = -np.log(_uniform(keys[live[mine]], salt + 3, where[mine]))
         with np.errstate(divide="ignore"):
             path.arrival[spot] = when[mine] + wait / path.mass[spot]

@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import fold, prepare_workers, slices, training_sample
+from ontime.llm.common import fold, free_name, prepare_workers, slices, training_sample
 from ontime.llm.textarrays import lower_bytes, space_bytes, utf8, word_bounds, word_hashes
 
 GRAMS = (3, 4, 5)
 BUCKET_BITS = 18
 DIMENSION = 4
 PER_CLASS = 3000
-MAX_CHARS = 4_000
+MAX_CHARS = 20_000
 EPOCHS = 15
 BATCH = 128
 RATE = 0.03
@@ -163,7 +163,7 @@ def fit(texts: list[str], marks: list[int], prior: float, seed: int = 5) -> Mode
 
 
 def fit_from(documents: DataFrame, labels: DataFrame, usable: Column, per_class: int = PER_CLASS) -> Model:
-    """Fit on at most ``per_class`` usable labelled texts of each class, of at most ``MAX_CHARS`` characters."""
+    """Fit on at most ``per_class`` usable labelled texts of each class, longer ones than ``MAX_CHARS`` by pieces."""
     rows = training_sample(documents, labels, "toxic", usable, per_class, MAX_CHARS).collect()  # bounded by these
     rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"]))
     share = labels.where(usable & F.col("toxic").isNotNull()).agg(F.avg("toxic")).first()[0]
@@ -173,15 +173,16 @@ def fit_from(documents: DataFrame, labels: DataFrame, usable: Column, per_class:
 def score_texts(documents: DataFrame, model: Model, *keep: str, score_name: str = "score") -> DataFrame:
     """The columns ``keep`` and the score of every whole text (null counts as empty)."""
     prepare_workers(documents.sparkSession)
-    wide = documents.select(*[F.col(f"`{c}`") for c in keep], F.coalesce("text", F.lit("")).alias("_whole_text"))
+    whole = free_name(documents, "_whole_text")
+    wide = documents.select(*[F.col(f"`{c}`") for c in keep], F.coalesce("text", F.lit("")).alias(whole))
     names = [*keep, score_name]
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_whole_text", 2_000_000):
+        for batch in slices(batches, whole, 2_000_000):
             found = model.score(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names)
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in wide.drop("_whole_text").schema]
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in wide.drop(whole).schema]
     return wide.mapInArrow(scores, ", ".join([*kinds, f"`{score_name}` double"]))
 
 

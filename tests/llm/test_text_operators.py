@@ -5,6 +5,7 @@ import math
 import re
 import struct
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ontime.llm import minhash, mixing, quality_classifier, secret_scan, segmentation, token_counts, toxicity, warc
-from ontime.llm.common import fresh_folder
+from ontime.llm.common import PIECES, free_name, fresh_folder, training_sample
 from ontime.llm.components import connected_components
 from ontime.llm.exact_dedup import drop_copies, exact_groups
 from ontime.llm import quality_rules as quality_rules_module
@@ -399,3 +400,120 @@ def test_archives_are_read_by_several_tasks(spark):
     assert read.where("record_type = 'response'").count() == 40
     hot = spark.createDataFrame([(i, "u", "x" * 9 if i else "y" * 9) for i in range(2000)], pages.schema)
     assert warc.build_dictionary(hot) == b""
+
+
+def test_mixing_does_not_depend_on_partitions(spark):
+    rows = [(i, f"{i % 5} same words here", "a") for i in range(3000)] + [(5000 + i, "x " * (i + 1), "b") for i in range(50)]
+    rows += [(7, "repeated row of five words", "a")] * 2500 + [(7, "the doc_id with other five", "a")] * 3
+    frame = docs(spark, rows)
+
+    def copies(df):
+        return sorted((r["doc_id"], r["text_key"], r["copies"]) for r in mixing.entropy_mix(df).collect())
+
+    one = copies(frame.coalesce(1))
+    assert len(one) == len(rows)
+    assert one == copies(frame.repartition(7)) == copies(frame.orderBy(F.col("doc_id").desc()).repartition(3))
+
+
+def test_columns_named_like_helpers(spark):
+    folder = Path(mixing.__file__).parent
+    names = {n for f in folder.glob("*.py") for n in re.findall(r'"(_[a-z_]+)"', f.read_text())} - {"_text"}
+    names |= {"row", "own", "copies", "kept", "y", "text_key", "label", "toxic", "held_out", "path", "unit"} - set(docs(spark).columns)
+    extra = sorted(names)
+    plain = docs(spark)
+    wide = plain.select("*", *[F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in extra])
+
+    def unchanged(df):
+        assert df.columns == wide.columns
+        for r in df.collect():
+            assert all(r[n] == n + ("-" if r["doc_id"] is None else str(r["doc_id"])) for n in extra)
+
+    unchanged(drop_copies(wide))
+    unchanged(mixing.mixed_documents(wide))
+    model = toxicity.fit(["a bad word", "a good word"] * 3, [1, 0] * 3, 0.5)
+    name = free_name(wide, "_toxicity")
+    scored = toxicity.score_texts(wide, model, *wide.columns, score_name=name)
+    unchanged(scored.drop(name))
+    marks = spark.createDataFrame([(1, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int")
+    for found, expected in (
+        (quality_rules(wide, marks), quality_rules(plain, marks)),
+        (minhash.near_duplicates(wide), minhash.near_duplicates(plain)),
+        (exact_groups(wide).drop("row_id"), exact_groups(plain).drop("row_id")),
+        (mixing.entropy_mix(wide), mixing.entropy_mix(plain)),
+        (segmentation.sample_segmentations(wide), segmentation.sample_segmentations(plain)),
+    ):
+        assert found.columns == expected.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_all_segmentations_of_short_texts():
+    words = segmentation.vocabulary(segmentation.default_model())
+    texts = ["a", "t", "A I", "a a a", "it"]
+    lattices = segmentation.build_lattices(texts, words)
+
+    def ways(place):
+        if lattices.edge[place, 0] == -1:
+            return [((), 0.0)]
+        found = []
+        for n in np.flatnonzero(lattices.edge[place] != -1) + 1:
+            q = lattices.log[place, n - 1] + lattices.beta[place + n] - lattices.beta[place]
+            found += [((int(lattices.edge[place, n - 1]), *rest), q + p) for rest, p in ways(place + n)]
+        return found
+
+    expected = []
+    for number in range(len(texts)):
+        every = [((), 0.0)]
+        for place in lattices.begins[lattices.unit_of_doc[number] : lattices.unit_of_doc[number + 1]]:
+            every = [(a + b, p + q) for a, p in every for b, q in ways(place)]
+        expected.append(dict(every))
+    assert sum(map(len, expected)) > 2 * len(texts) and all(sum(map(math.exp, e.values())) == pytest.approx(1) for e in expected)
+    most = max(map(len, expected))
+    for k in (1, 2, 3, most + 1):
+        drawn = [{} for _ in texts]
+        keys = np.arange(1, len(texts) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for rows, columns in segmentation.encode_batch(pa.array(texts), keys, k, words):
+            ids, logs, gumbels, inclusion, same = (c.to_pylist() for c in columns[1:])
+            assert all(same)
+            for i, row in enumerate(rows):
+                drawn[row][tuple(ids[i])] = (logs[i], gumbels[i], inclusion[i])
+        for found, every in zip(drawn, expected, strict=True):
+            assert len(found) == min(k, len(every)) and set(found) <= set(every)
+            assert all(v[0] == pytest.approx(every[s], abs=1e-5) for s, v in found.items())
+            order = [v[1] for v in found.values()]
+            assert order == sorted(order, reverse=True)
+            assert all((v[2] == 1) or k < len(every) for v in found.values())
+            assert all(0 < v[2] <= 1 for v in found.values())
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    long = "begin " + "mid " * 40_000 + "finish"
+    frame = docs(spark, [(1, long, "a"), (2, "short", "a"), (3, None, "a"), (4, "other", "a")])
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, None), (9, 1)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in training_sample(frame, marks, "toxic", F.lit(True), 10, 2_000).collect()}
+    assert set(got) == {1, 2} and got[2]["text"] == "short"
+    assert got[1]["y"] == 1 and got[1]["text"].startswith("begin mid") and got[1]["text"].endswith("finish")
+    assert len(got[1]["text"]) == 2_000 + PIECES - 1
+
+
+def test_toxicity_scores_against_plain_sums(spark):
+    rng = np.random.default_rng(8)
+    model = toxicity.Model(rng.normal(0, 3, 1 << toxicity.BUCKET_BITS).astype(np.float32), -0.3)
+
+    def bucket(gram):
+        h = len(gram)
+        for byte in gram:
+            h = (h * 0x01000193 + byte * 0x9E3779B1) % 2**32
+            h ^= h >> 15
+        h = h * 0x85EBCA6B % 2**32
+        return (h ^ (h >> 13)) >> (32 - toxicity.BUCKET_BITS)
+
+    def plain(text):
+        words = [w.encode().lower() for w in WORD.findall(text or "")]
+        grams = [s[i : i + n] for s in (b" " + w + b" " for w in words) for n in toxicity.GRAMS for i in range(len(s) - n + 1)]
+        distinct = len(set(words))
+        mean = sum(float(model.evidence[bucket(g)]) for g in grams) / max(len(grams), 1)
+        return 1 / (1 + math.exp(-(model.bias + mean * distinct / (distinct + toxicity.SHRINK))))
+
+    texts = [r[1] for r in ROWS] + ["a", "i a i", "BAD Words bad wörds\n\x0bx", " ".join(f"w{i}" for i in rng.integers(0, 90, 400))]
+    got = toxicity.score_texts(docs(spark, [(i, t, "a") for i, t in enumerate(texts)]), model, "doc_id").collect()
+    assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({i: plain(t) for i, t in enumerate(texts)}, abs=1e-6)
