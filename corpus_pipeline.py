@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm.common import fresh_folder, table
+from ontime.llm.common import free_name, fresh_folder, table
 from ontime.llm.exact_dedup import drop_copies
 from ontime.llm.minhash import near_duplicates
 from ontime.llm.mixing import mixed_documents
@@ -16,7 +16,8 @@ from ontime.llm.toxicity import CUT, fit_from, held_out, score_texts
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the cut. Labels of the held-out fold are not learned from."""
     model = fit_from(docs, table(spark, sf_dir, "labels"), ~held_out())
-    return score_texts(docs, model, *docs.columns, score_name="_toxicity").where(F.col("_toxicity") < CUT).drop("_toxicity")
+    score = free_name(docs, "_toxicity")
+    return score_texts(docs, model, *docs.columns, score_name=score).where(F.col(score) < CUT).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
