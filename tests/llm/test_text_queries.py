@@ -44,12 +44,13 @@ def test_pipeline_stages_against_plain_python(spark, tmp_path):
     rng = np.random.default_rng(12)
     calm = [" ".join(f"w{x}" for x in rng.integers(0, 4000, 60)) for _ in range(60)]
     rows = [(i, t) for i, t in enumerate(calm)]
-    rows += [(1000 + i, " ".join(f"vile{x}slur" for x in rng.integers(0, 300, 80))) for i in range(400)]
+    rows += [(1000 + i, " ".join(f"vile{x}slur" for x in rng.integers(0, 300, 80))) for i in range(200)]
+    rows += [(600 + i, " ".join(f"w{x}" for x in rng.integers(0, 4000, 60))) for i in range(300)]
     rows += [(200 + i, calm[40].replace(" ", "  ")) for i in range(20)] + [(300, None), (301, ""), (302, " "), (41, calm[41])]
     rows += [(400 + i, calm[50] + f" end{i}") for i in range(15)] + [(None, "no number here"), (500, "x y z " * 30_000)]
     data = [(i, t, None if k % 9 == 0 else "ab"[k % 2], f"own{k}", f"id{k}") for k, (i, t) in enumerate(rows)]
     frame = spark.createDataFrame(data, "doc_id long, text string, source string, _own string, _id string").repartition(5)
-    marks = [(i, 0, int(i >= 1000)) for i, _ in rows if i is not None and (i < 100 or i >= 1000)]
+    marks = [(i, 0, int(i >= 1000)) for i, _ in rows if i is not None and (i < 100 or i >= 600)]
     frame.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
 
