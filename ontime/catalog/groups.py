@@ -159,6 +159,16 @@ def _(spark, sf_dir):
     return rounded(agg.page_rows(matrix, 1, 3, ["origin"]), CARRIERS)
 
 
+@query(
+    "page_rows_deep",
+    "select l_shipdate, l_orderkey, l_linenumber, l_extendedprice from lineitem order by l_shipdate nulls first, "
+    "l_orderkey nulls first, l_linenumber nulls first, l_extendedprice nulls first limit 20000 offset 4000",
+)
+def _(spark, sf_dir):
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]
+    return agg.page_rows(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*order), 4_000, 24_000, order)
+
+
 @query(
     "delay_level_counts",
     with_flights("select op_carrier, case when dep_delay_new > 45 then 2 when dep_delay_new > 5 then 1 else 0 end "

@@ -11,6 +11,7 @@ from ontime.catalog.registry import AIRPORT, PARAMS, query, rounded, with_flight
 from ontime.functions import columns as c
 from ontime.operators import aggregates as agg
 from ontime.operators import models
+from ontime.operators.regularized import fit_regularized_trees
 from ontime.plans import jobs
 from ontime.plans.enriched import serving_split
 from ontime.schema import ARRIVAL_FEATURES, DEPARTURE_FEATURES, FOREST_GRID
@@ -219,6 +220,21 @@ def _(spark, sf_dir):
     return _means(models.predict(models.fit_boosted_trees_sub(rows, ["distance_group"], "arr_delay", 1, 10, subsample=1.0), rows))
 
 
+@query(
+    "fit_regularized_trees_means",
+    with_flights(
+        "select distinct distance_group, round(m + 0.5 * (g - n * m) / (n + 1), 6) as prediction from ("
+        "select distance_group, avg(y) over () as m, sum(y) over w as g, count(*) over w as n from ("
+        "select distance_group, cast(arr_delay as double) as y from flights_v where arr_delay is not null) "
+        "window w as (partition by coalesce(distance_group, 0)))"
+    ),
+)
+def _(spark, sf_dir):
+    rows = _known(spark, sf_dir)
+    model = fit_regularized_trees(rows, ["distance_group"], "arr_delay", 1, 10, step=0.5, subsample=1.0, penalty=1.0)
+    return _means(model.transform(rows))
+
+
 @query("score_means", _MEANS)
 def _(spark, sf_dir):
     rows = _known(spark, sf_dir)

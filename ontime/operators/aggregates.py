@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime.functions.columns import delay_level, hour_of, null_nan, route, station_code
 from ontime.functions.packed import decode_packed
 from ontime.operators.filters import filter_edges, filter_report
+from ontime.sources.sinks import stage_table
+
+FIRST_PAGES = 10_000
 
 ENDS = {"origin": "src", "dest": "dst"}
 
@@ -193,5 +196,33 @@ def top_k(df: DataFrame, value: str, k: int, tie: Sequence[str] = ()) -> DataFra
 
 
 def page_rows(df: DataFrame, lo: int, hi: int, order: Sequence[str]) -> DataFrame:
-    """Rows ``lo`` up to but without ``hi`` in the given order."""
-    return df.orderBy(*order).offset(lo).limit(hi - lo)
+    """Rows ``lo`` up to but without ``hi`` in the given order.
+
+    Within the first ``FIRST_PAGES`` rows every task keeps its best ``hi``. Further on the rows are dealt by ranges, and
+    the sums of earlier ranges' counts tell which ranges hold the page, so that no task has more than its range. Ties in
+    ``order`` come in the order of a hash of the whole row, which also splits a value that very many rows have.
+    """
+    if hi <= FIRST_PAGES:
+        return df.orderBy(*order).offset(lo).limit(hi - lo)
+    ranges = _ranged(df, order)
+    counts = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per range
+    sums = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    wanted = sums.where((F.col("before") < hi) & (F.col("before") + F.col("n") > lo))
+    first, last = wanted.agg(F.min("part"), F.max("part")).first()
+    if first is None:
+        return df.limit(0)
+    number = F.col("before") + F.col("place") - F.col("least")
+    page = ranges.where(F.col("part").between(first, last)).join(wanted, "part").withColumn("number", number)
+    return page.where(F.col("number").between(lo, hi - 1)).orderBy("number").select("row.*")
+
+
+def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Every row as a struct with its range and its place, which grows within the range; written once."""
+    hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    keys = [*(F.col(f"row.`{c}`") for c in order), F.xxhash64(*[F.col(f"row.`{c}`") for c in hashable])]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return stage_table(
+        dealt.select("row", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"))
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ontime.operators import models as m
 from ontime.operators.aggregates import regression_metrics
 from ontime.operators.ensembles import first_trees
+from ontime.operators.regularized import fit_regularized_trees
 from ontime.sources import sinks
 
 FEATURES = ["a", "b", "c"]
@@ -247,3 +248,28 @@ def test_model_job_takes_feature_lists_and_drops_incomplete_rows(spark, monkeypa
     assert seen["features"] == ("distance",) and seen["rows"].where("distance is null").count() > 0
     with pytest.raises(ValueError, match="missing is"):
         jobs.model_job(enriched, PARAMS, "arr", {}, folder, folder, missing="mean")
+
+
+def test_regularized_trees(parts):
+    train, test = parts
+    plain = m.fit_boosted_trees(train, FEATURES, "y", 1, 3, "auto", scale=False)
+    whole = {"step": 1.0, "subsample": 1.0, "column_share": 1.0}
+    same = fit_regularized_trees(train, FEATURES, "y", 1, 3, penalty=0.0, **whole).transform(test)
+    expected = {r["id"]: r["prediction"] for r in m.predict(plain, test).collect()}
+    assert {r["id"]: r["prediction"] for r in same.collect()} == pytest.approx(expected)
+    assert same.columns == [*test.columns, "prediction"]
+
+    slow = {"step": 0.3, "subsample": 0.75, "column_share": 0.7, "seed": 3}
+    model = fit_regularized_trees(train, FEATURES, "y", 12, 3, **slow)
+    errors = regression_metrics(model.transform(test), "y", "prediction").first()
+    assert errors["rmse"] < 0.7 * test.select(F.stddev_pop("y")).first()[0]
+    assert {len(s.features) for s in model.steps} == {2} and len({tuple(s.features) for s in model.steps}) > 1
+    again = fit_regularized_trees(train, FEATURES, "y", 12, 3, **slow)
+    assert [s.values for s in again.steps] == [pytest.approx(s.values) for s in model.steps]
+
+    heavy = fit_regularized_trees(train, FEATURES, "y", 2, 3, penalty=1e9, **whole)
+    assert all(abs(v) < 1e-4 for s in heavy.steps for v in s.values)
+    blunt = fit_regularized_trees(train, FEATURES, "y", 2, 3, least_gain=1e9, **whole)
+    assert all(len(s.values) == 1 for s in blunt.steps)
+    empty = fit_regularized_trees(train.where("y is null"), FEATURES, "y", 2, 3)
+    assert empty.steps == [] and {r["prediction"] for r in empty.transform(test).collect()} == {0.0}

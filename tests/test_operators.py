@@ -242,3 +242,18 @@ def test_mean_delays_of_unlisted_carriers(spark):
     }
     with pytest.raises(ValueError):
         agg.mean_delay_pivot(rows, ["C0"], other="C0")
+
+
+def test_deep_pages_follow_the_order(spark, monkeypatch):
+    monkeypatch.setattr(agg, "FIRST_PAGES", 0)
+    rows = [(i % 3 if i % 5 else None, i, f"part{i}") for i in range(5000)] + [(1, 7, "same")] * 40
+    frame = spark.createDataFrame(rows, "key int, part int, row string").repartition(6)
+    everything = agg.page_rows(frame, 0, 10_000, ["key"])
+    assert everything.columns == frame.columns and sorted(map(str, everything.collect())) == sorted(map(str, frame.collect()))
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1]) if r[0] is not None else (False, 0, r[1]))
+    for lo, hi in ((0, 5), (990, 1010), (2400, 2600), (5030, 5050), (6000, 7000)):
+        page = [(r["key"], r["part"], r["row"]) for r in agg.page_rows(frame, lo, hi, ["key", "part", "row"]).collect()]
+        assert page == sorted(ordered, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))[lo:hi]
+        one_key = [r["key"] for r in agg.page_rows(frame, lo, hi, ["key"]).collect()]
+        assert one_key == [r[0] for r in ordered][lo:hi]
+    assert agg.page_rows(frame.limit(0), 3, 9, ["key"]).count() == 0
