@@ -22,7 +22,8 @@ from ontime.plans.enriched import serving_split, validation_ranges
 from ontime.plans.jobs import exploration_base
 from ontime.schema import MEASURES, ZERO_FILLED
 from ontime.sources.fixtures import flights_v, read, weather_v
-from ontime.sources.sinks import stage_table
+from ontime.sources.scans import partition_values
+from ontime.sources.sinks import publish_table, stage_path, stage_table
 
 # Weather -------------------------------------------------------------------------------------------------------------
 
@@ -120,14 +121,17 @@ def _(spark, sf_dir):
     )
 
 
-_PIVOT_SQL = "select origin, " + ", ".join(
-    f"round(avg(case when op_carrier = '{k}' then dep_delay_new end), 6) as {k}" for k in CARRIERS
-) + " from flights_v group by origin"
+def _pivot_sql(carriers) -> str:
+    rules = [(k, f"op_carrier = '{k}'") for k in carriers]
+    listed = ", ".join(f"'{k}'" for k in carriers)
+    rules.append(("other", f"op_carrier is null or op_carrier not in ({listed})"))
+    means = ", ".join(f"round(avg(dep_delay_new) filter (where {rule}), 6) as {name}" for name, rule in rules)
+    return f"select origin, {means} from flights_v group by origin"
 
 
-@query("mean_delay_pivot", with_flights(_PIVOT_SQL))
+@query("mean_delay_pivot", with_flights(_pivot_sql(CARRIERS)))
 def _(spark, sf_dir):
-    return rounded(agg.mean_delay_pivot(flights_v(spark, sf_dir), CARRIERS), CARRIERS)
+    return rounded(agg.mean_delay_pivot(flights_v(spark, sf_dir), CARRIERS), [*CARRIERS, "other"])
 
 
 @query(
@@ -139,24 +143,17 @@ def _(spark, sf_dir):
 
 
 _FEW = CARRIERS[:3]
-_FEW_SQL = "select origin, " + ", ".join(
-    f"round(avg(dep_delay_new) filter (where {rule}), 6) as {name}"
-    for name, rule in (
-        *((k, f"op_carrier = '{k}'") for k in _FEW),
-        ("other", "op_carrier is null or op_carrier not in (" + ", ".join(f"'{k}'" for k in _FEW) + ")"),
-    )
-) + " from flights_v group by origin"
 
 
-@query("mean_delay_pivot_other", with_flights(_FEW_SQL))
+@query("mean_delay_pivot_other", with_flights(_pivot_sql(_FEW)))
 def _(spark, sf_dir):
-    return rounded(agg.mean_delay_pivot(flights_v(spark, sf_dir), _FEW, other="other"), [*_FEW, "other"])
+    return rounded(agg.mean_delay_pivot(flights_v(spark, sf_dir), _FEW), [*_FEW, "other"])
 
 
-@query("page_rows", with_flights(_PIVOT_SQL + " order by origin limit 2 offset 1"))
+@query("page_rows", with_flights(_pivot_sql(CARRIERS) + " order by origin limit 2 offset 1"))
 def _(spark, sf_dir):
     matrix = agg.mean_delay_pivot(flights_v(spark, sf_dir), CARRIERS)
-    return rounded(agg.page_rows(matrix, 1, 3, ["origin"]), CARRIERS)
+    return rounded(agg.page_rows(matrix, 1, 3, ["origin"]), [*CARRIERS, "other"])
 
 
 @query(
@@ -231,6 +228,16 @@ def _(spark, sf_dir):
     return fill_nulls(named, dict.fromkeys(ZERO_FILLED, 0))
 
 
+@query(
+    "date_bounds_by_catalog",
+    with_flights("select min(fl_date) as min_date, max(fl_date) as max_date from flights_v"),
+)
+def _(spark, sf_dir):
+    rows = flights_v(spark, sf_dir).select("flight_id", "fl_date")
+    publish_table(rows, "ontime_bounds", stage_path(spark, "table"), partition_by=("fl_date",))
+    return agg.date_bounds(partition_values(spark, "ontime_bounds", "fl_date"))
+
+
 @query("date_bounds", with_flights("select min(fl_date) as min_date, max(fl_date) as max_date from flights_v"))
 def _(spark, sf_dir):
     return agg.date_bounds(flights_v(spark, sf_dir))
@@ -389,6 +396,15 @@ def _(spark, sf_dir):
     return quality.top_values(flights_v(spark, sf_dir), "tail_num", 10)
 
 
+@query(
+    "top_values_by_bucket",
+    "select l_partkey, cast(count(*) as bigint) as n_rows from lineitem where l_partkey is not null "
+    "group by 1 order by 2 desc, 1 limit 100",
+)
+def _(spark, sf_dir):
+    return quality.top_values(read(spark, sf_dir, "lineitem"), "l_partkey", 100, buckets=65_536)
+
+
 @query("infer_expectations", with_flights("select * from rules_v", *_RULE_CTES))
 def _(spark, sf_dir):
     train, _serve = _ranges(spark, sf_dir)

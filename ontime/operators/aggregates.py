@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
+from math import sqrt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ontime.functions.columns import delay_level, hour_of, null_nan, route, station_code
@@ -91,12 +94,12 @@ def mean_delay_pivot(
     delay: str = "dep_delay_new",
     origin: str = "origin",
     carrier: str = "op_carrier",
-    other: str | None = None,
+    other: str | None = "other",
 ) -> DataFrame:
     """Origin by carrier matrix of the mean delay; the carrier list fixes the schema and saves a distinct job.
 
-    Trips of carriers outside the list, or of none, are in one column named ``other``, and left out without that name;
-    ``mean_delay_by_carrier`` needs no list.
+    Trips of carriers outside the list, or of none, are in one column named ``other``; only ``other=None`` leaves them
+    out. ``mean_delay_by_carrier`` needs no list.
     """
     x = null_nan(F.col(delay).cast("double"))
     if other is None:
@@ -120,26 +123,24 @@ def delay_level_counts(df: DataFrame, delay: str = "dep_delay_new", carrier: str
     return df.groupBy(carrier, delay_level(delay).alias("level")).agg(F.count(F.lit(1)).alias("n_trips"))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+GRAM_FROM = 8
+DOUBTFUL_BELOW = 1e-6
+LEAST_VARIANCE = 1e-9
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str], by_gram: bool | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair of columns in long form, over the rows where both are known.
 
-    The values are grouped by pair, so that the generated code stays small for many columns and only one row per pair
-    and task is shuffled. Pairs without two different values on both sides are NULL.
+    Up to ``GRAM_FROM`` columns the values are grouped by pair. More columns would make a row into very many cells: then
+    all pairs come from one Gram matrix, which Spark sums up per partition and merges, and only pairs that lose digits in
+    it are grouped (``by_gram`` decides explicitly). Pairs without two different values on both sides are NULL.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    cleaned = df.select(*[null_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    cells = [cell for i, (a, b) in enumerate(pairs) for cell in (F.lit(i), F.col(a), F.col(b))]
-    both = cleaned.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "a", "b")).select(
-        "pair",
-        F.when(F.col("b").isNotNull(), F.col("a")).alias("a"),
-        F.when(F.col("a").isNotNull(), F.col("b")).alias("b"),
-    )
-    # F.corr divides by zero, an error under ANSI rules, when one side is constant
-    measured = both.groupBy("pair").agg(
-        F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("r")
-    )
+    pairs = list(enumerate(combinations_with_replacement(dict.fromkeys(columns), 2)))
+    cleaned = df.select(*[null_nan(F.col(c).cast("double")).alias(c) for c in dict.fromkeys(columns)])
+    by_gram = len(cleaned.columns) > GRAM_FROM if by_gram is None else by_gram
+    measured = _pairs_by_gram(cleaned, pairs) if by_gram else _pairs_by_group(cleaned, pairs)
     listed = df.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, column_a string, column_b string"
+        [(i, a, b) for i, (a, b) in pairs], "pair int, column_a string, column_b string"
     )
     a, b = F.col("column_a"), F.col("column_b")
     exact = F.when((a == b) & F.col("r").isNotNull(), 1.0).otherwise(F.col("r")).alias("correlation")
@@ -149,6 +150,81 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return listed.join(measured, "pair", "left").select(F.inline(ordered), exact)
 
 
+def _pairs_by_group(cleaned: DataFrame, pairs: Sequence[tuple[int, tuple[str, str]]]) -> DataFrame:
+    """Grouped by pair the generated code stays small, and only one row per pair and task is shuffled."""
+    cells = [cell for i, (a, b) in pairs for cell in (F.lit(i), F.col(a), F.col(b))]
+    both = cleaned.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "a", "b")).select(
+        "pair",
+        F.when(F.col("b").isNotNull(), F.col("a")).alias("a"),
+        F.when(F.col("a").isNotNull(), F.col("b")).alias("b"),
+    )
+    # F.corr divides by zero, an error under ANSI rules, when one side is constant; the deviation of a constant such as
+    # 0.1 is not exactly 0 after partial results are merged
+    varied = (F.min("a") < F.max("a")) & (F.min("b") < F.max("b"))
+    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
+    return both.groupBy("pair").agg(F.when(varied, r).alias("r"))
+
+
+def _pairs_by_gram(cleaned: DataFrame, pairs: Sequence[tuple[int, tuple[str, str]]]) -> DataFrame:
+    """Per column three features: known or not, the standardised value, its square, the last two 0 where unknown.
+
+    The mean products of these features hold count, sums and products of every pair over the rows where both are known.
+    """
+    cleaned, names = stage_table(cleaned), cleaned.columns
+    cells = [cell for i, c in enumerate(names) for cell in (F.lit(i), F.col(c))]
+    spread = cleaned.select(F.stack(F.lit(len(names)), *cells).alias("c", "v")).groupBy("c")
+    moments = spread.agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("sd")).where("sd > 0 and sd < 'infinity'")
+    varied = {names[r["c"]]: r for r in moments.collect()}  # one row per column
+    products = _mean_products(cleaned, varied) if varied else {}
+    rows, doubtful = [], []
+    for i, (a, b) in pairs:
+        r = _correlation(products, a, b) if a in varied and b in varied else None
+        if r is None:
+            doubtful.append((i, (a, b)))
+        else:
+            rows.append((i, r))
+    measured = cleaned.sparkSession.createDataFrame(rows, "pair int, r double")  # one row per pair
+    return measured.unionByName(_pairs_by_group(cleaned, doubtful)) if doubtful else measured
+
+
+def _mean_products(cleaned: DataFrame, varied: Mapping[str, Row]) -> dict[tuple[str, str, str, str], float]:
+    """Mean product of every two features, by kind and column; left out where a variance is too small for Spark's matrix."""
+    features = {}
+    for c, column in varied.items():
+        z = F.coalesce((F.col(c) - column["mean"]) / column["sd"], F.lit(0.0))
+        features |= {("known", c): F.col(c).isNotNull().cast("double"), ("z", c): z, ("square", c): z * z}
+    named = cleaned.select(*[f.alias(f"f{i}") for i, f in enumerate(features.values())])
+    vectors = VectorAssembler(inputCols=named.columns, outputCol="features").transform(named).select("features")
+    metrics = Summarizer.metrics("mean", "variance", "count").summary(F.col("features"))
+    moments = vectors.select(metrics.alias("m")).select("m.mean", "m.variance", "m.count").first()
+    mean, variance, n = moments["mean"].toArray().tolist(), moments["variance"].toArray().tolist(), moments["count"]
+    matrix = Correlation.corr(vectors, "features").first()[0].toArray().tolist()
+    products = {}
+    for i, one in enumerate(features):
+        for j, other in enumerate(features):
+            always = [k for k in (i, j) if variance[k] == 0]  # such as "known" of a column without gaps
+            if not always and min(variance[i], variance[j]) < LEAST_VARIANCE:
+                continue
+            covariance = 0.0 if always else matrix[i][j] * sqrt(variance[i] * variance[j]) * (n - 1) / n
+            products[(*one, *other)] = covariance + mean[i] * mean[j]
+    return products
+
+
+def _correlation(products: Mapping[tuple[str, str, str, str], float], a: str, b: str) -> float | None:
+    """None where the sums lose too many digits, or where there is no correlation."""
+    wanted = [("known", a, "known", b), ("z", a, "known", b), ("z", b, "known", a), ("square", a, "known", b),
+              ("square", b, "known", a), ("z", a, "z", b)]
+    if any(key not in products for key in wanted):
+        return None
+    share, za, zb, aa, bb, ab = (products[key] for key in wanted)
+    if not share > LEAST_VARIANCE:
+        return None
+    va, vb = aa - za * za / share, bb - zb * zb / share
+    if not (va > max(DOUBTFUL_BELOW * aa, LEAST_VARIANCE) and vb > max(DOUBTFUL_BELOW * bb, LEAST_VARIANCE)):
+        return None
+    return (ab - za * zb / share) / sqrt(va * vb)
+
+
 def date_bounds(df: DataFrame, column: str = "fl_date") -> DataFrame:
     return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
 

@@ -95,9 +95,12 @@ def filter_edges(edges: DataFrame, end: str, code: str, delay: str = "delay") ->
     return edges.where((F.col(end) == code) & (F.col(delay) > 0))
 
 
-def latest_partition(df: DataFrame, column: str = "fl_date") -> DataFrame:
-    """Rows of the latest date: the maximum is a scalar subquery, so the rows themselves are never shuffled."""
-    latest = df.agg(F.max(column).alias("latest")).scalar()
+def latest_partition(df: DataFrame, column: str = "fl_date", dates: DataFrame | None = None) -> DataFrame:
+    """Rows of the latest date: the maximum is a scalar subquery, so the rows themselves are never shuffled.
+
+    ``dates`` may hold the column's values already, such as the partitions that the catalog lists (``partition_values``).
+    """
+    latest = (df if dates is None else dates).agg(F.max(column).alias("latest")).scalar()
     return df.where(F.col(column) == latest)
 
 

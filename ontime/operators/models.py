@@ -10,6 +10,7 @@ from math import prod
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from ontime.functions.columns import ColumnLike, as_column, null_nan, run_id
 from ontime.operators.ensembles import SavedEnsemble, SavedModels, nested_groups, prefix_metrics
 from ontime.sources.scans import HASH_DIGITS, hash_below
-from ontime.sources.sinks import ensure_checkpoint_dir, stage_path, stage_table
+from ontime.sources.sinks import create_exclusively, ensure_checkpoint_dir, stage_path, stage_table
 
 MAX_TREE_DEPTH = 30
 RUN_COLUMNS = ("model", "dataset", "target", "num_trees", "max_depth", "feature_subset", "step_size", "subsample")
@@ -445,6 +446,7 @@ def compare_models(
 
 
 STAGES = ("None", "Staging", "Production")
+STAGE_LOG = "run_id string, stage string, description string, version int"
 
 
 def promote(
@@ -452,24 +454,37 @@ def promote(
 ) -> DataFrame:
     """Append a stage change to the stage log and return the current stage of every run.
 
-    Versions count up, so that the latest change of a run is well defined.
+    Versions count up, so that the latest change of a run is well defined. A version belongs to the writer that creates
+    its claim file first; another one that works at the same time takes the next number. A writer that fails after its
+    claim leaves a gap. A given ``version`` that is taken raises ``FileExistsError``.
     """
     if stage not in STAGES:
         raise ValueError(f"stage {stage!r} is none of {STAGES}")
     if version is None:
         version = _last_version(spark, path) + 1
-    row = spark.createDataFrame(
-        [(run, stage, description, version)], "run_id string, stage string, description string, version int"
-    )
-    row.coalesce(1).write.mode("append").parquet(path)
-    return model_stages(spark.read.parquet(path))
+        while not create_exclusively(spark, _claim(path, version)):
+            version += 1
+    elif not create_exclusively(spark, _claim(path, version)):
+        raise FileExistsError(f"version {version} of {path} is taken")
+    row = spark.createDataFrame([(run, stage, description, version)], STAGE_LOG)
+    # a folder per change: writers of one folder would remove each other's unfinished files
+    row.coalesce(1).write.parquet(f"{path.rstrip('/')}/change-{version}")
+    return model_stages(_stage_log(spark, path))
+
+
+def _claim(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/_versions/{version}"  # scans skip names that start with an underscore
+
+
+def _stage_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STAGE_LOG).option("recursiveFileLookup", True).parquet(path)
 
 
 def _last_version(spark: SparkSession, path: str) -> int:
     try:
-        log = spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+        log = _stage_log(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return 0
         raise
     return log.agg(F.max("version")).first()[0] or 0

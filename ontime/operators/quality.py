@@ -15,6 +15,7 @@ from pyspark.sql.types import (
 )
 
 from ontime.functions.columns import null_nan
+from ontime.sources.sinks import stage_table
 
 # Bins per round of the exact median; relative rank error of the sketched one is 1 / SKETCH_ACCURACY.
 MEDIAN_BINS = 1024
@@ -227,12 +228,33 @@ def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
-    """The ``k`` most frequent known values, the smaller value first on a tie."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+def top_values(df: DataFrame, column: str, k: int, buckets: int | None = None) -> DataFrame:
+    """The ``k`` most frequent known values, the smaller value first on a tie.
+
+    With ``buckets`` (a column of very many values) only candidates are counted one by one. No value is more frequent
+    than its hash bucket, so the rows per bucket are counted first; the fullest buckets' values give a frequency that the
+    result reaches at least; only buckets as full as that are counted by value. The result is the same for any data: where
+    no bucket can be left out, all values are counted.
+    """
+    known = df.select(F.col(column)).where(F.col(column).isNotNull())
+    if buckets is not None:
+        known = _frequent_buckets(known, column, k, buckets)
+    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.orderBy(F.col("n_rows").desc(), column).limit(k)
 
 
+def _frequent_buckets(known: DataFrame, column: str, k: int, buckets: int) -> DataFrame:
+    """Rows whose hash bucket may hold one of the ``k`` most frequent values."""
+    bucket = F.pmod(F.xxhash64(column), F.lit(buckets))
+    full = stage_table(known.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows")))  # at most ``buckets`` rows
+    first = full.orderBy(F.col("_rows").desc(), "_bucket").limit(4 * k)
+    counts = known.join(first, bucket == first["_bucket"], "left_semi").groupBy(column).count()
+    best = counts.orderBy(F.col("count").desc()).limit(k)
+    least = best.agg(F.when(F.count(F.lit(1)) == k, F.min("count")).otherwise(1).alias("least")).scalar()
+    possible = full.where(F.col("_rows") >= least)
+    return known.join(possible, bucket == possible["_bucket"], "left_semi")
+
+
 def infer_expectations(profile: DataFrame, open_columns: Sequence[str] = ()) -> DataFrame:
     """Rules a table like the profiled one has to meet: kind, whether values are required, closed value domain.
 

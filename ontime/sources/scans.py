@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ontime.functions.columns import ColumnLike, as_column
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -19,6 +22,18 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def partition_values(spark: SparkSession, name: str, column: str) -> DataFrame:
+    """Values of a partition column of a catalog table, from the catalog: no data file is opened.
+
+    One row per partition; a partition that holds no rows any more is listed until it is dropped.
+    """
+    # names are escaped as in file paths, where a plus sign stands for itself
+    escaped = F.regexp_extract("partition", f"(?:^|/)(?i:{re.escape(column)})=([^/]*)", 1)
+    text = F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
+    known = F.when(escaped != NO_VALUE, text).cast(spark.table(name).schema[column].dataType)
+    return spark.sql(f"show partitions {name}").select(known.alias(column))
+
+
 def param_query(spark: SparkSession, sql: str, args: Mapping[str, Any], **frames: DataFrame) -> DataFrame:
     """SQL with named parameters (``:start``) and, optionally, frames referred to as ``{name}``."""
     return spark.sql(sql, args=dict(args), **frames)

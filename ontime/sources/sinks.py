@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Sequence
+from pathlib import Path
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
@@ -66,6 +68,30 @@ def drop_stage(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def create_exclusively(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it exists. Of several writers at once exactly one gets true.
+
+    Needs a file system that creates exclusively, as HDFS and local disks do; some object stores do not.
+    """
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = made.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getScheme() == "file":  # the JVM's local file system tests for the file before it creates it
+        local = Path(made.toUri().getPath())
+        local.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            local.touch(exist_ok=False)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        system.create(made, False).close()
+    except Py4JJavaError as error:
+        if not system.exists(made):
+            raise error
+        return False
+    return True
+
+
 def _swap_in(spark: SparkSession, new: str, path: str) -> None:
     """Put folder ``new`` in the place of ``path``: two renames, and the old contents go last."""
     make = spark._jvm.org.apache.hadoop.fs.Path

@@ -1,6 +1,7 @@
 """Model jobs on a table with signal."""
 
 import random
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -107,6 +108,25 @@ def test_search_log_select_score_compare_promote(spark, parts):
         m.promote(spark, "r1", "Archive", "", stages)
 
 
+def test_writers_at_the_same_time_take_different_versions(spark, tmp_path):
+    path = str(tmp_path / "stages")
+    with ThreadPool(4) as pool:
+        pool.map(lambda i: m.promote(spark, f"r{i}", "Staging", "", path), range(8))
+    current = m.promote(spark, "r0", "Production", "", path)
+    found = {r["run_id"]: (r["stage"], r["version"]) for r in current.collect()}
+    assert len(found) == 8 and found["r0"] == ("Production", 9)
+    assert sorted(v for run, (_, v) in found.items() if run != "r0") == sorted(
+        {1, 2, 3, 4, 5, 6, 7, 8} - {int(v) for v in _versions_of(spark, path, "r0")}
+    )
+    with pytest.raises(FileExistsError):
+        m.promote(spark, "r1", "None", "", path, version=4)
+
+
+def _versions_of(spark, path, run):
+    log = spark.read.option("recursiveFileLookup", True).parquet(path)
+    return [r["version"] for r in log.where(f"run_id = '{run}'").collect()]
+
+
 def rmse_of(model, test):
     model.stages[-1].setPredictionCol("prediction")
     return rmse(model, test)

@@ -1,13 +1,14 @@
 """Operators on small frames: filters, joins, windows, aggregates, sinks."""
 
 import random
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from ontime.operators import aggregates as agg
-from ontime.operators import filters, joins, projections
+from ontime.operators import filters, joins, projections, quality
 from ontime.operators.windows import previous_leg_flag
 from ontime.params import run_params
 from ontime.schema import ARRIVAL_FEATURES, DEPARTURE_FEATURES, ENRICHED_COLUMNS, SCHEDULE_FEATURES, SILVER_COLUMNS
@@ -151,6 +152,43 @@ def test_correlation_skips_nan_and_is_symmetric(spark):
     assert matrix["k", "k"] is None and matrix["a", "k"] is None
 
 
+def test_correlation_by_matrix_equals_correlation_by_group(spark):
+    rng = random.Random(5)
+    data = []
+    for i in range(4000):
+        x = rng.gauss(0, 1)
+        gap = None if rng.random() < 0.2 else 1e6 + x + rng.gauss(0, 2)  # a mean far from 0
+        odd = float("nan") if rng.random() < 0.1 else rng.choice([0.0, x])
+        data.append((x, gap, odd, 0.1, None, x if i < 2 else None, 0.3 if i % 2 else None, 0.1 * (i % 2)))
+    names = ["x", "gap", "odd", "same", "none", "two", "half", "parity"]
+    frame = spark.createDataFrame(data, ", ".join(f"{n} double" for n in names)).repartition(5)
+    got, plain = (
+        {(r[0], r[1]): r[2] for r in agg.correlation_matrix(frame, names, by_gram=way).collect()} for way in (True, False)
+    )
+    assert got.keys() == plain.keys() and len(got) == 64
+    for pair, r in plain.items():
+        # rows where "half" is known have one value of "parity"
+        if {*pair} & {"same", "none", "half"}:
+            assert got[pair] is None
+        else:
+            assert got[pair] == pytest.approx(r, abs=1e-9)
+    empty = agg.correlation_matrix(frame.limit(0), names, by_gram=True).collect()
+    assert len(empty) == 64 and {r[2] for r in empty} == {None}
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_top_values_by_bucket_lose_no_value(spark, buckets):
+    rng = random.Random(buckets)
+    values = [rng.choice(["hot", None, f"v{rng.randint(0, 30)}", f"rare{rng.randint(0, 5000)}"]) for _ in range(6000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v string").repartition(4)
+    counts = Counter(v for v in values if v is not None)
+    ordered = sorted(counts.items(), key=lambda item: (-item[1], item[0]))
+    for k in (1, 20, 10_000):
+        got = [tuple(r) for r in quality.top_values(frame, "v", k, buckets).collect()]
+        assert got == ordered[:k]
+    assert quality.top_values(frame.limit(0), "v", 3, buckets).count() == 0
+
+
 def test_regression_metrics_match_the_evaluator(spark):
     from pyspark.ml.evaluation import RegressionEvaluator
 
@@ -234,8 +272,10 @@ def test_mean_delays_of_unlisted_carriers(spark):
         [("A", "C0", 1.0), ("A", "C9", 2.0), ("A", None, 4.0), ("B", "C9", 5.0), ("B", "C8", float("nan"))],
         "origin string, op_carrier string, dep_delay_new double",
     )
-    matrix = agg.mean_delay_pivot(rows, ["C0"], other="other")
+    matrix = agg.mean_delay_pivot(rows, ["C0"])
+    assert matrix.columns == ["origin", "C0", "other"]
     assert {tuple(r) for r in matrix.collect()} == {("A", 1.0, 3.0), ("B", None, 5.0)}
+    assert {tuple(r) for r in agg.mean_delay_pivot(rows, ["C0"], other=None).collect()} == {("A", 1.0), ("B", None)}
     long = agg.mean_delay_by_carrier(rows)
     assert {tuple(r) for r in long.collect()} == {
         ("A", "C0", 1.0), ("A", "C9", 2.0), ("A", None, 4.0), ("B", "C9", 5.0), ("B", "C8", None),

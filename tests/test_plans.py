@@ -11,7 +11,7 @@ import ontime
 from ontime.catalog import inputs
 from ontime.operators import aggregates, filters, joins
 from ontime.operators.windows import previous_leg_flag
-from ontime.sources import sinks
+from ontime.sources import scans, sinks
 from ontime.sources.fixtures import flights_v, weather_v
 
 
@@ -61,6 +61,31 @@ def test_partitions_are_pruned(flights, spark):
     assert filters.latest_partition(stored).count() == flights.where("fl_date = '2024-01-30'").count()
 
 
+def test_dates_of_a_published_table_come_from_the_catalog(flights, spark):
+    path = sinks.stage_path(spark, "dates")
+    stored = sinks.publish_table(
+        flights.select("flight_id", "fl_date"), "ontime_dates", path, partition_by=["fl_date"]
+    )
+    dates = scans.partition_values(spark, "ontime_dates", "fl_date")
+    assert "FileScan" not in plan_of(aggregates.date_bounds(dates))
+    assert aggregates.date_bounds(dates).collect() == aggregates.date_bounds(stored).collect()
+    latest = filters.latest_partition(stored, dates=dates)
+    assert plan_of(latest).count("FileScan") == 1
+    assert sorted(latest.collect()) == sorted(filters.latest_partition(stored).collect())
+    spark.sql("drop table ontime_dates")
+
+
+def test_partition_values_are_unescaped(spark):
+    values = ["a+b", "50%", "x/y=z", "ü", None]
+    rows = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "key string, part int")
+    sinks.publish_table(rows.withColumn("v", F.lit(1)), "ontime_keys", sinks.stage_path(spark, "keys"),
+                        partition_by=["part", "key"])
+    found = scans.partition_values(spark, "ontime_keys", "key")
+    assert {r[0] for r in found.collect()} == set(values)
+    assert {r[0] for r in scans.partition_values(spark, "ontime_keys", "part").collect()} == set(range(5))
+    spark.sql("drop table ontime_keys")
+
+
 def test_latest_partition_moves_no_rows(flights):
     plan = plan_of(filters.latest_partition(flights).select("flight_id"))
     main = plan[: plan.index("Subquery")] if "Subquery" in plan else plan
