@@ -91,9 +91,10 @@ def _spelled(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
 def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct buckets of all texts, their shares within each text, and where each text starts.
 
-    Shares are drawn towards zero for texts of few distinct words, whose average says little.
+    Shares are drawn towards zero for texts of few distinct words, whose average says little. Both grow in one block each,
+    eight bytes per bucket of a text, as they are the largest that training keeps.
     """
-    places, shares, starts = [], [], [0]
+    places, shares, starts = bytearray(), bytearray(), [0]
     for text in texts:
         raw = np.frombuffer(f" {text} ".encode(), dtype=np.uint8)
         found = []
@@ -102,10 +103,10 @@ def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             found.append(buckets[whole])
         ids, times = np.unique(np.concatenate(found), return_counts=True)
         distinct = len(set(lower_bytes()[raw].tobytes().split()))
-        places.append(ids.astype(np.int32))
-        shares.append((times / max(times.sum(), 1) * distinct / (distinct + SHRINK)).astype(np.float32))
+        places += ids.astype(np.int32).tobytes()
+        shares += (times / max(times.sum(), 1) * distinct / (distinct + SHRINK)).astype(np.float32).tobytes()
         starts.append(starts[-1] + len(ids))
-    return np.concatenate(places), np.concatenate(shares), np.array(starts)
+    return np.frombuffer(places, np.int32), np.frombuffer(shares, np.float32), np.array(starts)
 
 
 def fit(texts: list[str], marks: list[int], prior: float, seed: int = 5) -> Model:
@@ -121,7 +122,9 @@ def fit(texts: list[str], marks: list[int], prior: float, seed: int = 5) -> Mode
     rng = np.random.default_rng(seed)
     places, shares, starts = _bags(texts)
     # only buckets that occur have parameters in training; the others keep no evidence
-    used, places = np.unique(places, return_inverse=True)
+    seen = np.zeros(1 << BUCKET_BITS, dtype=bool)
+    seen[places] = True
+    used, number = np.flatnonzero(seen), np.cumsum(seen) - 1
     embed = rng.normal(0, 0.1, (len(used), DIMENSION)).astype(np.float32)
     soft = rng.normal(0, 1.0, (DIMENSION, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
@@ -134,7 +137,7 @@ def fit(texts: list[str], marks: list[int], prior: float, seed: int = 5) -> Mode
             lengths = starts[batch + 1] - starts[batch]
             own = np.repeat(np.arange(len(batch)), lengths)
             spots = np.arange(lengths.sum()) + np.repeat(starts[batch] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-            ids, weights = places[spots], shares[spots]
+            ids, weights = number[places[spots]], shares[spots]
             weighted = embed[ids] * weights[:, None]
             pooled = np.stack([np.bincount(own, weighted[:, d], len(batch)) for d in range(DIMENSION)], 1).astype(np.float32)
             logits = pooled @ soft + bias

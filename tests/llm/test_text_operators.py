@@ -517,3 +517,18 @@ def test_toxicity_scores_against_plain_sums(spark):
     texts = [r[1] for r in ROWS] + ["a", "i a i", "BAD Words bad wörds\n\x0bx", " ".join(f"w{i}" for i in rng.integers(0, 90, 400))]
     got = toxicity.score_texts(docs(spark, [(i, t, "a") for i, t in enumerate(texts)]), model, "doc_id").collect()
     assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({i: plain(t) for i, t in enumerate(texts)}, abs=1e-6)
+
+
+def test_fitting_toxicity_keeps_few_bytes_per_bucket_of_a_text():
+    import random
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefghijklmnop ", k=800)) for _ in range(2000)]
+    entries = len(toxicity._bags(texts)[0])
+    tracemalloc.start()
+    toxicity.fit(texts, [i % 2 for i in range(2000)], 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    fixed = 64 << 20  # embeddings with their moments, one batch
+    assert entries > 2_000_000 and peak < fixed + 16 * entries
