@@ -109,11 +109,15 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _uniform(key: np.ndarray, *parts) -> np.ndarray:
+def _hashed(key: np.ndarray, *parts) -> np.ndarray:
     h = key
     for part in parts:
         h = mix(h ^ (np.atleast_1d(part).astype(U64) * U64(0x9E3779B97F4A7C15) + U64(0x632BE59BD9B4E019)))
-    return ((h >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return h
+
+
+def _uniform(key: np.ndarray, *parts) -> np.ndarray:
+    return ((_hashed(key, *parts) >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 @dataclass
@@ -135,9 +139,14 @@ class Lattices:
 
     def shares(self, place: np.ndarray) -> np.ndarray:
         """The share of every length at the given positions, also where it is too small for ``upto``."""
-        after = np.minimum(place[:, None] + np.arange(1, self.log.shape[1] + 1), len(self.beta) - 1)
-        ways = np.where(self.edge[place] != -1, self.log[place].astype(np.float64) + self.beta[after], -np.inf)
-        return np.exp(ways - self.beta[place][:, None])
+        width = self.log.shape[1]
+        out = np.zeros(len(place) * width)
+        spots = np.flatnonzero(self.edge[place] != -1)  # few lengths have a piece: the others stay 0
+        who = spots // width
+        length = spots - who * width
+        at = place[who]
+        out[spots] = np.exp(self.log[at, length].astype(np.float64) + self.beta[at + length + 1] - self.beta[at])
+        return out.reshape(-1, width)
 
 
 def build_lattices(texts: Sequence[str], words: Vocabulary) -> Lattices:
@@ -168,13 +177,15 @@ def build_lattices(texts: Sequence[str], words: Vocabulary) -> Lattices:
     left = np.repeat(size, size + 1) - inside
     at = np.minimum(np.repeat(begins[sample], size + 1) + inside, max(n - 1, 0))
     active, length, hits = np.flatnonzero(left > 0), 0, []
+    origin = at[active]
+    before, scale = sums[origin], powers(INVERSE, n + 1)[origin]
     while len(active):  # only substrings that begin some piece are looked at further
         length += 1
-        origin = at[active]
-        found = words.find(mix((sums[origin + length] - sums[origin]) * powers(INVERSE, n + 1)[origin]))
+        found = words.find(mix((sums[origin + length] - before) * scale))
         hit = found >= 0
         hits.append((active[hit], found[hit]))
-        active = active[(found != -1) & (left[active] > length)]
+        more = np.flatnonzero((found != -1) & (left[active] > length))
+        active, origin, before, scale = active[more], origin[more], before[more], scale[more]
     width = max((i for i, (place, _) in enumerate(hits, 1) if len(place)), default=1)
     edge = np.full((total, width), -1, dtype=np.int32)
     log = np.full((total, width), -np.inf, dtype=np.float32)
@@ -235,6 +246,7 @@ def _walk(lattices: Lattices, units: np.ndarray, starts: np.ndarray, keys: np.nd
     """Draw pieces from each start to the end of its unit: (unit, place, length), in order of units and within them."""
     now, active = starts.copy(), np.arange(len(units))
     ends = lattices.edge[:, 0] == -1
+    drawn = _hashed(keys, salt, units)  # the same at every step
     steps = []
     step = 0
     while True:
@@ -242,8 +254,8 @@ def _walk(lattices: Lattices, units: np.ndarray, starts: np.ndarray, keys: np.nd
         if not len(active):
             break
         place = now[active]
-        u = _uniform(keys[active], salt, units[active], step).astype(np.float32)
-        length = 1 + (u[:, None] > lattices.upto[place]).sum(axis=1)
+        u = _uniform(drawn[active], step).astype(np.float32)
+        length = 1 + (u[:, None] <= lattices.upto[place]).argmax(axis=1)  # the first running share that u does not exceed
         steps.append((active, place, length))
         now[active] = place + length
         step += 1

@@ -532,3 +532,26 @@ def test_fitting_toxicity_keeps_few_bytes_per_bucket_of_a_text():
     tracemalloc.stop()
     fixed = 64 << 20  # embeddings with their moments, one batch
     assert entries > 2_000_000 and peak < fixed + 16 * entries
+
+
+def test_a_walk_hashes_every_piece_once(monkeypatch):
+    words = segmentation.vocabulary(segmentation.default_model())
+    lattices = segmentation.build_lattices(["the quick brown fox jumps over the lazy dog " * 20], words)
+    units = np.arange(len(lattices.begins))
+    keys = np.full(len(units), 7, np.uint64)
+    before = segmentation._walk(lattices, units, lattices.begins, keys, 1)
+    hashed = []
+    plain = segmentation.mix
+    monkeypatch.setattr(segmentation, "mix", lambda x: hashed.append(len(x)) or plain(x))
+    unit, place, length = segmentation._walk(lattices, units, lattices.begins, keys, 1)
+    assert sum(hashed) <= 2 * len(units) + len(place)
+    assert all((a == b).all() for a, b in zip(before, (unit, place, length), strict=True))
+
+
+def test_shares_of_lengths_equal_the_dense_formula():
+    words = segmentation.vocabulary(segmentation.default_model())
+    lattices = segmentation.build_lattices(["sentence pieces of a text", "t", "ü 1"], words)
+    place = np.flatnonzero(lattices.edge[:, 0] != -1)
+    after = np.minimum(place[:, None] + np.arange(1, lattices.log.shape[1] + 1), len(lattices.beta) - 1)
+    ways = np.where(lattices.edge[place] != -1, lattices.log[place].astype(np.float64) + lattices.beta[after], -np.inf)
+    assert (lattices.shares(place) == np.exp(ways - lattices.beta[place][:, None])).all()
