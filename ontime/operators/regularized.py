@@ -75,7 +75,7 @@ def fit_regularized_trees(
     base = rows.agg(F.avg(label)).first()[0]
     if base is None:
         return RegularizedTrees(preparation, 0.0, [])
-    start = _vectors(preparation, rows, label).select("features", F.col(label).alias("_y"), F.lit(float(base)).alias("_margin"))
+    start = _vectors(preparation, rows, label)[0].select("features", F.col(label).alias("_y"), F.lit(float(base)).alias("_margin"))
     state = cut_lineage(start.withColumn("_row", F.xxhash64(vector_to_array("features"), "_y")))
     rng = random.Random(seed)
     n_chosen = max(1, round(column_share * len(features)))

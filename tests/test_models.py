@@ -293,3 +293,43 @@ def test_regularized_trees(parts):
     assert all(len(s.values) == 1 for s in blunt.steps)
     empty = fit_regularized_trees(train.where("y is null"), FEATURES, "y", 2, 3)
     assert empty.steps == [] and {r["prediction"] for r in empty.transform(test).collect()} == {0.0}
+
+
+def test_fits_deal_their_rows_by_slots_and_bytes(parts, monkeypatch):
+    rows = m._labelled(parts[0].repartition(11), FEATURES, "y")
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    preparation = m.Pipeline(stages=m._preparation(FEATURES, True)).fit(rows)
+    dealt, n = m._vectors(preparation, rows, "y")
+    assert n == rows.count() == dealt.count() and dealt.rdd.getNumPartitions() == slots
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 1.3 * n / slots
+    monkeypatch.setattr(m, "TASK_BYTES", n * m._row_bytes(FEATURES, 100) // (3 * slots))
+    many, _ = m._vectors(preparation, rows, "y", m._row_bytes(FEATURES, 100))
+    assert many.rdd.getNumPartitions() % slots == 0 and many.rdd.getNumPartitions() >= 3 * slots
+    staged = m._staged(many, n, m._row_bytes(FEATURES, 100))
+    assert staged.count() == n and staged.rdd.getNumPartitions() == many.rdd.getNumPartitions()
+
+
+def test_a_forest_beyond_memory_is_grown_in_parts(spark, parts, monkeypatch):
+    train, test = parts
+    whole = m.fit_random_forest(train, FEATURES, "y", 5, 4)
+    asked = []
+    monkeypatch.setattr(m, "_trees_at_once", lambda *a: asked.append(a) or 2)
+    grown = m.fit_random_forest(train, FEATURES, "y", 5, 4)
+    forest = grown.stages[-1]
+    assert asked[0][1] == train.where("y is not null").count() and asked[0][3] == 5
+    assert forest.getNumTrees == len(forest.trees) == 5 and len({t.toDebugString for t in forest.trees}) == 5
+    assert rmse(grown, test) == pytest.approx(rmse(whole, test), rel=0.3)
+    first = m.fit_random_forest(train, FEATURES, "y", 1, 4).stages[-1]
+    assert forest.trees[0].toDebugString.split("\n")[1:] == first.trees[0].toDebugString.split("\n")[1:]
+    path = sinks.stage_path(spark, "forest")
+    grown.write().save(path)
+    assert _predicted(PipelineModel.load(path), test) == _predicted(grown, test)
+    _fitted, runs = m.grid_search(train, test, FEATURES, "y", m.expand_grid({"num_trees": (2, 5), "max_depth": (4,)}))
+    assert [r["num_trees"] for r in runs] == [2, 5] and runs[1]["rmse"] == pytest.approx(rmse(grown, test), rel=0.3)
+
+
+def test_trees_at_once_follow_the_memory(spark):
+    n = [m._trees_at_once(spark, rows, FEATURES, 500, 1) for rows in (10, 2_000_000, 5_000_000, 10**12)]
+    assert n[0] == 500 > n[1] > n[2] > n[3] == m.LEAST_TREES
+    assert m._trees_at_once(spark, 2_000_000, FEATURES, 500, 4) < n[1]
