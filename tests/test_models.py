@@ -333,3 +333,46 @@ def test_trees_at_once_follow_the_memory(spark):
     n = [m._trees_at_once(spark, rows, FEATURES, 500, 1) for rows in (10, 2_000_000, 5_000_000, 10**12)]
     assert n[0] == 500 > n[1] > n[2] > n[3] == m.LEAST_TREES
     assert m._trees_at_once(spark, 2_000_000, FEATURES, 500, 4) < n[1]
+
+
+def test_a_search_of_the_whole_space_grows_no_tree_twice(parts, monkeypatch):
+    built = []
+    build = m.BUILDERS["boosted_trees"]
+    monkeypatch.setitem(m.BUILDERS, "boosted_trees", lambda *a, **b: built.append((b["num_trees"], b["max_depth"])) or build(*a, **b))
+    space = {"num_trees": (1, 2, 4), "max_depth": (1, 2)}
+    found = m.sequential_search(parts[0], FEATURES, "y", space, "id", 6, folds=2, startup=1, parallelism=1)
+    assert sorted(built[:-1]) == [(4, 1)] * 2 + [(4, 2)] * 2 and built[-1] == tuple(found.best.values())
+    assert sorted(map(str, found.candidates)) == sorted(map(str, m.expand_grid(space)))
+    alone = m.Folds(parts[0], FEATURES, "y", "id", "boosted_trees", 2, 99, 2, True)
+    for c, error in list(zip(found.candidates, found.avgMetrics))[::4]:
+        assert alone.rmse([c])[0] == pytest.approx(error)
+
+
+def test_forests_of_a_search_are_grown_for_the_sizes_that_are_asked(parts):
+    folds = m.Folds(parts[0], FEATURES, "y", "id", "random_forest", 2, 99, 2, True, (1, 2, 4))
+    plain = m.Folds(parts[0], FEATURES, "y", "id", "random_forest", 2, 99, 2, True)
+    assert folds.rmse([{"num_trees": 2}]) == pytest.approx(plain.rmse([{"num_trees": 2}]))
+
+
+def test_boosting_fits_at_once_follow_the_memory(spark, parts, monkeypatch):
+    n = [m._fits_at_once(spark, rows, FEATURES, 4) for rows in (0, 10, 10**12)]
+    assert n == [4, 4, 1]
+    some = m._room(spark) // (2 * (m._row_bytes(FEATURES, 1) + m.BOOSTING_BYTES))
+    assert m._fits_at_once(spark, some, FEATURES, 4) == 2
+    running, most = [], []
+    grow = m._grow
+
+    def spy(*args):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return grow(*args)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(m, "_grow", spy)
+    monkeypatch.setattr(m, "_room", lambda _: 1)
+    candidates = m.expand_grid({"num_trees": (1,), "max_depth": (1, 2, 3)})
+    m.grid_search(*parts, FEATURES, "y", candidates, "boosted_trees")
+    m.Folds(parts[0], FEATURES, "y", "id", "boosted_trees", 2, 99, 4, True).rmse(candidates)
+    assert most == [1] * 9
