@@ -376,3 +376,32 @@ def test_boosting_fits_at_once_follow_the_memory(spark, parts, monkeypatch):
     m.grid_search(*parts, FEATURES, "y", candidates, "boosted_trees")
     m.Folds(parts[0], FEATURES, "y", "id", "boosted_trees", 2, 99, 4, True).rmse(candidates)
     assert most == [1] * 9
+
+
+def test_large_forests_read_their_rows_leaf_by_leaf(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.randrange(4), i) for i in range(600)]
+    frame = spark.createDataFrame([(float(a), float(i % 7), 10.0 * a) for a, i in rows], "a double, b double, y double")
+    dealt, n = m._vectors(m.Pipeline(stages=m._preparation(["a", "b"], False)).fit(frame), frame, "y")
+    forest = m.random_forest("y", 12, 4)
+
+    def in_order(df):
+        return [(r["_part"], r["y"], *r["features"]) for r in df.withColumn("_part", F.spark_partition_id()).collect()]
+
+    plain, gathered = in_order(dealt), in_order(m._gathered(forest, dealt))
+    assert sorted(gathered) == sorted(plain)  # the same rows, each in its own partition
+    runs = [1 + sum(a[:2] != b[:2] for a, b in zip(found, found[1:])) for found in (plain, gathered)]
+    assert runs[1] == len({r[:2] for r in plain}) < runs[0]
+
+    seen = []
+    whole = m._gathered
+    monkeypatch.setattr(m, "_gathered", lambda *args: seen.append(args) or whole(*args))
+    m.fit_random_forest(frame, ["a", "b"], "y", 12, 4)
+    assert not seen  # few rows stay as they are
+    monkeypatch.setattr(m, "GATHERED_ROWS", n)
+    model = m.fit_random_forest(frame, ["a", "b"], "y", 12, 4)
+    assert len(seen) == 1 and model.stages[-1].getNumTrees == 12
+    assert m.predict(model, frame).columns == ["a", "b", "y", "prediction"] and rmse(model, frame) < 0.5
+    m.fit_random_forest(frame, ["a", "b"], "y", 2, 4)
+    m.fit_boosted_trees(frame, ["a", "b"], "y", 2, 2)
+    assert len(seen) == 1
