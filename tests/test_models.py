@@ -405,3 +405,44 @@ def test_large_forests_read_their_rows_leaf_by_leaf(spark, monkeypatch):
     m.fit_random_forest(frame, ["a", "b"], "y", 2, 4)
     m.fit_boosted_trees(frame, ["a", "b"], "y", 2, 2)
     assert len(seen) == 1
+
+
+def test_the_registered_grid_search_has_the_whole_grid(spark, monkeypatch):
+    from ontime.catalog import QUERIES
+    from ontime.schema import FOREST_GRID
+
+    seen = []
+
+    def stop(train, test, features, label, candidates, *rest):
+        seen.extend(candidates)
+        raise InterruptedError
+
+    monkeypatch.setattr(m, "grid_search", stop)
+    with pytest.raises(InterruptedError):
+        QUERIES["grid_search"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 18 and seen == m.expand_grid(FOREST_GRID)
+
+
+def test_a_forest_beyond_the_driver_is_grown_saved_and_measured_in_parts(spark, parts, monkeypatch):
+    train, test = parts
+    assert m._part_sizes([2, 5, 9], 3) == [2, 3, 2, 2] and m._part_sizes([4], 9) == [4]
+    candidates = m.expand_grid({"num_trees": (2, 5), "max_depth": (3, 12)})
+    _whole, expected = m.grid_search(train, test, FEATURES, "y", candidates)
+    monkeypatch.setattr(m, "_trees_in_driver", lambda *a: 2)
+    fitted, runs = m.grid_search(train, test, FEATURES, "y", candidates)
+    assert [len(saved.paths) for saved in fitted.saved] == [1, 1, 3, 3]
+    for i, run in enumerate(runs):
+        forest = fitted[i].stages[-1]
+        assert forest.getNumTrees == len(forest.trees) == candidates[i]["num_trees"] == run["num_trees"]
+        assert len({t.toDebugString for t in forest.trees}) == forest.getNumTrees
+        assert rmse(fitted[i], test) == pytest.approx(run["rmse"])
+        assert run["rmse"] == pytest.approx(expected[i]["rmse"], rel=0.3)
+
+
+def test_trees_in_the_driver_follow_its_memory(spark):
+    assert not m._deep(m.random_forest("y", max_depth=10), 10) and not m._deep(m.random_forest("y", max_depth=12), 5000)
+    assert m._deep(m.random_forest("y", max_depth=12), 4000) and 16 <= m._statistics_mb(spark) <= 256
+    shallow, deep, more, all_rows = [
+        m._trees_in_driver(spark, n, depth, fits) for n, depth, fits in ((10**6, 7, 1), (10**6, 25, 1), (10**6, 7, 4), (10**12, 30, 1))
+    ]
+    assert shallow > more > deep >= all_rows == 1
