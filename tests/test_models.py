@@ -446,3 +446,20 @@ def test_trees_in_the_driver_follow_its_memory(spark):
         m._trees_in_driver(spark, n, depth, fits) for n, depth, fits in ((10**6, 7, 1), (10**6, 25, 1), (10**6, 7, 4), (10**12, 30, 1))
     ]
     assert shallow > more > deep >= all_rows == 1
+
+
+def test_folds_write_their_rows_once_and_read_them_without_a_shuffle(spark, parts, monkeypatch, tmp_path):
+    written = []
+    stage = m.stage_table
+    monkeypatch.setattr(m, "stage_table", lambda *a: written.append(a) or stage(*a))
+    folds = m.Folds(parts[0].repartition(11), FEATURES, "y", "id", "boosted_trees", 3, 42, 2, True)
+    known = parts[0].where("y is not null").count()
+    assert len(written) == 1 and sum(test.count() for _, _, test in folds.parts) == known
+    for train, n, test in folds.parts:
+        assert train.count() == n == known - test.count()
+        assert "Exchange" not in train._jdf.queryExecution().executedPlan().toString()
+        values = [v for r in train.collect() for v in r["features"]]
+        assert min(values) == 0 and max(values) == 1  # scaled by the training rows alone
+    monkeypatch.setattr(m, "stage_path", lambda *_: str(tmp_path / "folds"))
+    m.cross_validate(parts[0], FEATURES, "y", [{"num_trees": 1, "max_depth": 1}], "id", folds=2)
+    assert len(written) == 2 and not (tmp_path / "folds").exists()
